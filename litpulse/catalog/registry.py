@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litpulse.session import use_utc
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,7 +29,7 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, sf: plain(fn(spark, sf))
+        QUERIES[name] = lambda spark, sf: plain(fn(use_utc(spark), sf))
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn

@@ -37,16 +37,25 @@ def year_histogram(dated: DataFrame) -> DataFrame:
     )
 
 
-def write_by_date(dated: DataFrame, path: str) -> None:
+def write_by_date(dated: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Dated records as Parquet, one partition per date.
 
-    Rebalancing by date keeps the number of files small and splits a date that
-    holds a large share of the rows over several tasks.
+    A date goes to one task, which writes one file for it. A date with more than
+    ``rows_per_file`` records is spread by content over as many tasks as it needs.
+    The number of tasks is that of the shuffle: with thousands of dates the cost
+    lies in opening files, not in bytes, so adaptive merging of small shuffle
+    blocks would leave too few writers.
     """
+    known = dated.where(F.col("publish_date").isNotNull()).select("raw_json", "publish_date")
+    spread = known.groupBy("publish_date").agg(
+        F.ceil(F.count("*") / rows_per_file).alias("__parts")  # one row per calendar day
+    )
+    tasks = int(dated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        dated.where(F.col("publish_date").isNotNull())
+        known.join(spread, "publish_date")
+        .withColumn("__part", F.pmod(F.xxhash64("raw_json"), F.col("__parts")))
+        .repartition(tasks, "publish_date", "__part")
         .select("raw_json", "publish_date")
-        .hint("rebalance", "publish_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("publish_date")

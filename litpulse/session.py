@@ -29,6 +29,13 @@ def build_session(app: str = "litpulse", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def use_utc(spark: SparkSession) -> SparkSession:
+    """Set the one setting results depend on in a session built elsewhere."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``.
 
