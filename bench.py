@@ -40,6 +40,8 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
+            # The tables are small next to the work per row: keep shuffles in many parts.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -7,7 +7,7 @@ import datetime as dt
 import pandas as pd
 from pyspark.sql import functions as F
 
-from litpulse.catalog.bindings import SNAP, as_id, table
+from litpulse.catalog.bindings import SNAP, as_id, parse_input, table
 from litpulse.catalog.registry import query
 from litpulse.functions.ids import with_paper_ids
 from litpulse.session import scratch_path
@@ -54,7 +54,8 @@ def paper_pages(spark, sf):
         '<?xml version="1.0" encoding="UTF-8"?><OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/">'
         "<responseDate>2026-10-01T00:00:00Z</responseDate>", body, "</OAI-PMH>",
     )
-    return table(spark, sf, "orders").select(k.alias("page_id"), page.alias("value"))
+    orders = parse_input(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    return orders.select(k.alias("page_id"), page.alias("value"))
 
 
 _LIVE = "o_orderkey % 17 <> 3 AND o_orderkey % 10 <> 1 AND o_orderkey % 11 <> 2 AND o_orderkey % 13 <> 0"
@@ -117,7 +118,8 @@ def _(spark, sf):
         F.col("lang"), "</title><abstract>", xml_text(F.col("text")),
         "</abstract><update_date>2026-10-01</update_date></arXivRaw></metadata></record></GetRecord></OAI-PMH>",
     )
-    pages = table(spark, sf, "documents").select("doc_id", page.alias("value"))
+    docs = parse_input(spark, sf, "documents", "doc_id", "lang", "text")
+    pages = docs.select("doc_id", page.alias("value"))
     return payloads.single_record_fields(pages, "value", "doc_id").select(
         "doc_id", "id", "abstract", "title", "n_versions", "update_date"
     )
@@ -141,7 +143,8 @@ def _(spark, sf):
         '"/><primary_category term="cs.LG"/><link rel="alternate" type="text/html" href="http://x/abs/', doc,
         '"/><link rel="related" type="application/pdf" href="http://x/pdf/', doc, '"/></entry></feed>',
     )
-    feeds = table(spark, sf, "documents").select("doc_id", feed.alias("value"))
+    docs = parse_input(spark, sf, "documents", "doc_id", "lang", "source", "text")
+    feeds = docs.select("doc_id", feed.alias("value"))
     rows = payloads.atom_entries(feeds, "value", "doc_id")
     return rows.select(
         "doc_id", "arxiv_id", "title", F.array_join("authors", ",").alias("authors"), "n_authors",
@@ -234,7 +237,8 @@ def star_pages(spark, sf):
     week = F.unix_timestamp(F.date_sub(day, 2).cast("timestamp")).cast("string")
     weeks = _cat('[{"week":', week, ',"days":[0,null,', qty, ',"x",-1,0,0,99]},{"week":null,"days":[5]}]')
     page = F.when(F.col("l_linenumber") % 2 == 0, _cat(' {"weeks":', weeks, "}")).otherwise(weeks)
-    return table(spark, sf, "lineitem").select(
+    lines = parse_input(spark, sf, "lineitem", "l_partkey", "l_quantity", "l_linenumber", "l_shipdate")
+    return lines.select(
         F.col("l_partkey").alias("repo_id"), F.lit(RANGE[0]).alias("scan_start"), F.lit(RANGE[1]).alias("scan_to"),
         page.alias("payload"),
     )
@@ -262,7 +266,8 @@ def _(spark, sf):
     weeks = F.transform(
         F.sequence(F.lit(1), n), lambda i: F.struct((start + i * 604800).cast("string").alias("week"))
     )
-    pages = table(spark, sf, "lineitem").select(
+    lines = parse_input(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    pages = lines.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.to_date("l_shipdate").alias("scan_start"),
         F.when(F.col("l_linenumber") == 6, 100).otherwise(F.col("l_linenumber")).alias("page_no"),
         F.to_json(weeks).alias("payload"),
@@ -280,7 +285,8 @@ def connection_pages(spark, sf):
         F.when(key % 3 == 0, "null").otherwise('"c"'), '},"nodes":[{"createdAt":"', day,
         'T10:00:00Z"},null,{"createdAt":null},{"createdAt":"bad"}', F.when(key % 5 == 0, ',{"createdAt":"1990-06-01T10:00:00Z"}').otherwise(""), "]}",
     )
-    return table(spark, sf, "orders").select(
+    orders = parse_input(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    return orders.select(
         key.alias("page_id"), F.col("o_custkey").alias("repo_id"), F.lit(RANGE[0]).alias("scan_start"),
         F.lit(RANGE[1]).alias("scan_to"), F.lit(1).alias("page_no"), page.alias("payload"),
     )
@@ -403,7 +409,8 @@ def _(spark, sf):
         )
     )
     raw = F.when(F.col("doc_id") % 7 == 0, F.lit("not json")).otherwise(doc)
-    records = table(spark, sf, "documents").select(F.encode(raw, "UTF-8").alias("jsonl"))
+    docs = parse_input(spark, sf, "documents", "doc_id", "lang", "source", "text")
+    records = docs.select(F.encode(raw, "UTF-8").alias("jsonl"))
     rows = documents.document_profile(records, "jsonl")
     return rows.select(
         "paper_id", "title", "categories", "n_authors", "n_versions", "abstract_chars", "n_sections",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from litpulse.catalog.bindings import EVENTS, as_id, event_lines, events, table, with_
+from litpulse.catalog.bindings import EVENTS, as_id, event_lines, events, parse_input, table, with_
 from litpulse.catalog.registry import query
 from litpulse.functions import dates, jsons, text
 from litpulse.functions.ids import paper_id_rows, with_paper_ids
@@ -19,7 +19,7 @@ def _readme_texts(spark, sf):
     modern = F.concat(F.lit("2310."), F.lpad(as_id("doc_id"), 5, "0"))
     other = F.concat(F.lit("2401."), F.lpad(as_id("doc_id"), 5, "0"))
     old = F.concat(F.lit("hep-th/"), F.lpad(as_id("doc_id"), 7, "0"))
-    return table(spark, sf, "documents").select(
+    return parse_input(spark, sf, "documents", "doc_id", "text").select(
         "doc_id",
         F.concat(
             "text",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from litpulse.catalog.bindings import (
-    EDGES, EVENTS, PAPERS, SNAP, as_id, edges, events, papers, repos, table, with_,
+    EDGES, EVENTS, PAPERS, SNAP, as_id, edges, events, papers, parse_input, repos, table, with_,
 )
 from litpulse.catalog.rankings import (
     ACTIVITY, CITATION, cdetails, cranking, paper_detail_rows, ranking,
@@ -276,7 +276,8 @@ def _raw_lines(spark, sf):
             F.col("o_orderpriority").alias("note"),
         )
     )
-    return table(spark, sf, "orders").select(line.alias("raw_json"))
+    orders = parse_input(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
+    return orders.select(line.alias("raw_json"))
 
 
 @query(

@@ -38,23 +38,11 @@ def first_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 def unpivot_windows(df: DataFrame, keys: Sequence[str], windows: Mapping[str, str]) -> DataFrame:
     """Columns to rows: ``windows`` maps a window name to its column.
 
-    Only values above zero are kept; nulls go with them.
+    Only values above zero are kept; nulls go with them. Expansion and filter run
+    in one generated stage, so the dropped rows are never materialised.
     """
-    pairs = F.array(
-        *(
-            F.struct(F.lit(name).alias("window_name"), F.col(c).alias("metric_value"))
-            for name, c in windows.items()
-        )
-    )
-    positive = F.filter(pairs, lambda p: p["metric_value"] > 0)
-    return df.select(*keys, F.inline(positive))
-
-
-def unpivot_stack(df: DataFrame, keys: Sequence[str], windows: Mapping[str, str]) -> DataFrame:
-    """The same as one generator over all columns, with the filter after it."""
-    return df.unpivot(
-        list(keys), [F.col(c).alias(n) for n, c in windows.items()], "window_name", "metric_value"
-    ).where("metric_value > 0")
+    values = [F.col(c).alias(name) for name, c in windows.items()]
+    return df.unpivot(list(keys), values, "window_name", "metric_value").where("metric_value > 0")
 
 
 def pivot_metrics(df: DataFrame, keys: Sequence[str], value: str, metrics: Sequence[str]) -> DataFrame:

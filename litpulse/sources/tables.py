@@ -48,6 +48,15 @@ def read_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """An input in fewer splits than there are cores, spread out before costly parsing.
+
+    A large table has more splits than cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def latest_snapshot(df: DataFrame, version: str) -> DataFrame:
     """Rows of the highest version; the maximum is one row, so the join broadcasts it."""
     top = df.agg(F.max(version).alias("__latest"))
