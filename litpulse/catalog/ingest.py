@@ -181,23 +181,27 @@ def _(spark, sf):
 
 @query(
     "search_coverage",
-    f"""SELECT p_brand, CAST(COUNT(*) AS BIGINT) AS n_items,
-      CASE WHEN COUNT(*) >= 100 THEN strftime(MAX(TIMESTAMP '{SNAP} 00:00:00' + to_seconds(CAST(p_partkey + 1 AS BIGINT))), '%Y-%m-%d %H:%M:%S') END AS next_cursor,
-      COUNT(*) < 100 AS hour_finished FROM part GROUP BY p_brand""",
+    f"""WITH item AS (SELECT p_partkey // 100 AS page_id, p_partkey FROM part
+        WHERE (p_partkey // 100) % 2 = 0 OR p_partkey % 100 <> 99)
+    SELECT page_id, COUNT(*) AS n_items,
+      CASE WHEN COUNT(*) >= 100 THEN strftime(TIMESTAMP '{SNAP} 00:00:00' + to_seconds(MAX(p_partkey) + 1), '%Y-%m-%d %H:%M:%S') END AS next_cursor,
+      COUNT(*) < 100 AS hour_finished FROM item GROUP BY page_id""",
 )
 def _(spark, sf):
-    # A page per brand. Each entry is a short struct, and the page is the unit that the source sends.
-    at = F.timestamp_seconds(F.unix_timestamp(F.lit(f"{SNAP} 00:00:00").cast("timestamp")) + F.col("p_partkey"))
+    # Pages of at most 100 items, as the source sends them; every other page is one short.
+    key = F.col("p_partkey")
+    at = F.timestamp_seconds(F.unix_timestamp(F.lit(f"{SNAP} 00:00:00").cast("timestamp")) + key)
     item = F.struct(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("full_name"),
+        key.alias("id"), F.col("p_name").alias("full_name"),
         F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
     )
     pages = (
         table(spark, sf, "part")
-        .groupBy("p_brand")
+        .where("(p_partkey div 100) % 2 = 0 OR p_partkey % 100 <> 99")
+        .groupBy(F.expr("p_partkey div 100").alias("page_id"))
         .agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("items"))).alias("value"))
     )
-    rows = payloads.search_coverage(pages, "value", "p_brand")
+    rows = payloads.search_coverage(pages, "value", "page_id")
     return rows.withColumn("next_cursor", F.date_format("next_cursor", "yyyy-MM-dd HH:mm:ss"))
 
 

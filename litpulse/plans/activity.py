@@ -151,12 +151,19 @@ def activity_ranking(
         edges = edges.join(papers.select("arxiv_id"), "arxiv_id", "left_semi")
     by_paper = paper_activity(edges, repo_activity(events, snap, first_year))
     ranked = ranked_papers(by_paper, recent_papers(papers, snap), k)
-    titled = papers.select("arxiv_id", "title").join(
-        hint_bounded(ranked, rank_bound(snap, k, first_year)), "arxiv_id"
-    )
-    return titled.select(
-        F.lit(snap).alias("snapshot_date"), "window_name", "metric", "rank", "arxiv_id", "title", "metric_value"
-    )
+    return titled_ranking(ranked, papers, snap, rank_bound(snap, k, first_year))
+
+
+def titled_ranking(ranked: DataFrame, papers: DataFrame, snap: dt.date, bound: int) -> DataFrame:
+    """Ranked ids with the titles of their papers; the papers are scanned, not shuffled."""
+    return (
+        papers.select("arxiv_id", "title")
+        .join(hint_bounded(ranked, bound), "arxiv_id")
+        .select(
+            F.lit(snap).alias("snapshot_date"), "window_name", "metric", "rank", "arxiv_id",
+            "title", "metric_value",
+        )
+    )
 
 
 def ranked_ids(ranking: DataFrame) -> DataFrame:

@@ -48,11 +48,11 @@ def write_by_date(dated: DataFrame, path: str, rows_per_file: int = 1_000_000) -
     """
     known = dated.where(F.col("publish_date").isNotNull()).select("raw_json", "publish_date")
     spread = known.groupBy("publish_date").agg(
-        F.ceil(F.count("*") / rows_per_file).alias("__parts")  # one row per calendar day
+        F.ceil(F.count("*") / rows_per_file).alias("__parts")
     )
     tasks = int(dated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        known.join(spread, "publish_date")
+        known.join(F.broadcast(spread), "publish_date")  # one row per calendar day
         .withColumn("__part", F.pmod(F.xxhash64("raw_json"), F.col("__parts")))
         .repartition(tasks, "publish_date", "__part")
         .select("raw_json", "publish_date")

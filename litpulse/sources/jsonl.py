@@ -60,8 +60,8 @@ def upsert_archive(
 
     Whole records are replaced, the highest ``sequence`` wins within the batch,
     null or empty keys are dropped. Only the months in the batch are read and
-    rewritten: a semi join on the month columns prunes the scan, and dynamic
-    partition overwrite leaves the other months alone.
+    rewritten: the list of months, bounded by the calendar, prunes the scan, and
+    dynamic partition overwrite leaves the other months alone.
     """
     spark = batch.sparkSession
     fresh = newest_per_key(
@@ -69,10 +69,9 @@ def upsert_archive(
         [*ARCHIVE_PARTITIONS, key],
         [F.col(sequence).desc()],
     ).select(spark.createDataFrame([], archive_schema(schema)).columns)
-    months = fresh.select(*ARCHIVE_PARTITIONS).distinct()
-    kept = read_jsonl(spark, path, archive_schema(schema)).join(
-        months, list(ARCHIVE_PARTITIONS), "left_semi"
-    )
+    month = F.concat_ws("-", *ARCHIVE_PARTITIONS)
+    touched = [r[0] for r in fresh.select(month).distinct().collect()]
+    kept = read_jsonl(spark, path, archive_schema(schema)).where(month.isin(touched))
     merged = replace_by_key(
         kept.where(F.col(key) != ""), fresh, [*ARCHIVE_PARTITIONS, key]
     )
