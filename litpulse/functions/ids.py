@@ -48,6 +48,8 @@ def paper_id_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
     """One row per text and id: the kept columns, ``arxiv_id`` and ``format``."""
     return (
         with_paper_ids(df, text, "__ids")
-        .select(*keep, F.explode("__ids").alias("__id"))
+        # An inner explode would imply a filter that scans the text a second time.
+        .select(*keep, F.explode_outer("__ids").alias("__id"))
+        .where(F.col("__id").isNotNull())
         .select(*keep, "__id.arxiv_id", "__id.format")
     )

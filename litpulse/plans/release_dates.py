@@ -12,8 +12,10 @@ from litpulse.schemas import DATED_RECORD
 
 def with_publish_date(lines: DataFrame) -> DataFrame:
     """``raw_json`` as it is, plus the date of its first listed version, null if unknown."""
-    created = F.get(F.from_json("raw_json", DATED_RECORD)["metadata"]["versions"], F.lit(0))["created"]
-    return lines.select("raw_json", parse_lenient_mail_date(created).alias("publish_date"))
+    versions = F.from_json("raw_json", DATED_RECORD)["metadata"]["versions"]
+    # A column of its own, so that the JSON is parsed once for all uses of the text.
+    created = lines.select("raw_json", F.get(versions, F.lit(0))["created"].alias("created"))
+    return created.select("raw_json", parse_lenient_mail_date(F.col("created")).alias("publish_date"))
 
 
 def date_counts(dated: DataFrame) -> DataFrame:

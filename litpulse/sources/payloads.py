@@ -54,15 +54,19 @@ def page_has_records(page: Column) -> Column:
 
 
 def page_records(pages: DataFrame, value: str, *keep: str) -> DataFrame:
-    """One row per record of each page, plus the page's resumption token."""
-    parsed = pages.select(*keep, parse_xml(F.col(value), PAPER_PAGE).alias("p")).where(
-        page_has_records(F.col("p"))
-    )
+    """One row per record of each page, plus the page's resumption token.
+
+    The page check sits inside the outer explode: as a filter of its own, like
+    the one an inner explode implies, it would be pushed below the parse and have
+    every page parsed again.
+    """
+    parsed = pages.select(*keep, parse_xml(F.col(value), PAPER_PAGE).alias("p"))
+    records = F.coalesce("p.ListRecords.record", "p.GetRecord.record")
     return parsed.select(
         *keep,
         blank_to_null(F.col("p.ListRecords.resumptionToken")).alias("next_token"),
-        F.explode(F.coalesce("p.ListRecords.record", "p.GetRecord.record")).alias("record"),
-    )
+        F.explode_outer(F.when(page_has_records(F.col("p")), records)).alias("record"),
+    ).where(F.col("record").isNotNull())
 
 
 def version_number(c: Column) -> Column:
@@ -172,7 +176,7 @@ def single_record_fields(pages: DataFrame, value: str, *keep: str) -> DataFrame:
 
 def atom_entries(feeds: DataFrame, value: str, *keep: str) -> DataFrame:
     """Feed entries as 14 fields: id without version, collapsed texts, authors, links."""
-    e = F.col("feed.entry")
+    e = F.col("e")
     last = F.element_at(F.split(F.regexp_replace(e["id"], "/+$", ""), "/"), -1)
 
     def link(rel: str, kind: str) -> Column:
@@ -184,8 +188,10 @@ def atom_entries(feeds: DataFrame, value: str, *keep: str) -> DataFrame:
         F.transform(F.filter(e["author"], lambda a: a["name"].isNotNull()), lambda a: strip(a["name"])),
         F.array().cast("array<string>"),
     )
+    parsed = feeds.select(*keep, parse_xml(F.col(value), ATOM_FEED)["entry"].alias("entry"))
     return (
-        feeds.select(*keep, parse_xml(F.col(value), ATOM_FEED).alias("feed"))
+        # An outer explode of the one entry keeps the null test above the parse.
+        parsed.select(*keep, F.explode_outer(F.array("entry")).alias("e"))
         .where(e.isNotNull())
         .select(
             *keep,
@@ -213,7 +219,8 @@ def atom_entries(feeds: DataFrame, value: str, *keep: str) -> DataFrame:
 def search_items(pages: DataFrame, value: str, *keep: str) -> DataFrame:
     """One row per item of each search page, in page order."""
     parsed = pages.select(*keep, F.from_json(value, SEARCH_PAGE).alias("p"))
-    return parsed.select(*keep, F.posexplode("p.items").alias("position", "item")).select(
+    items = parsed.select(*keep, F.posexplode_outer("p.items").alias("position", "item"))
+    return items.where(F.col("position").isNotNull()).select(
         *keep, "position", F.col("item.id").alias("repo_id"), "item.full_name", "item.created_at"
     )
 
@@ -276,12 +283,12 @@ def star_days(pages: DataFrame, payload: str, *keep: str) -> DataFrame:
     not numbers are skipped.
     """
     weeks = pages.select(
-        *keep, "scan_start", "scan_to", F.explode(star_week_array(F.col(payload))).alias("w")
+        *keep, "scan_start", "scan_to", F.explode_outer(star_week_array(F.col(payload))).alias("w")
     )
     days = weeks.select(
         *keep, "scan_start", "scan_to",
         epoch_date(F.col("w.week")).alias("week_start"),
-        F.posexplode(F.slice(to_ints(F.col("w.days")), 1, 7)).alias("slot", "count"),
+        F.posexplode_outer(F.slice(to_ints(F.col("w.days")), 1, 7)).alias("slot", "count"),
     )
     day = F.date_add("week_start", F.col("slot"))
     return days.where((F.col("count") > 0) & day.between(F.col("scan_start"), F.col("scan_to"))).select(
