@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from litpulse.functions.once import let
+
 # Accepted date formats.
 MAIL_DATE = (
     r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun),\s+(\d{1,2})\s+"
@@ -17,16 +19,21 @@ LENIENT_MAIL_DATE = (
     r"([01]?\d|2[0-3])[:.]([0-5]?\d)(?:[:.]([0-5]?\d))?(?:\s.*)?$"
 )
 STRICT_ISO_DATE = r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"
+# Marks text that a pattern has matched and rewritten, so that it is matched once.
+MATCHED = "\x01"
 ISO_DATE_PREFIX = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])"
 ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
 def parse_mail_timestamp(c: Column) -> Column:
     """``Mon, 2 Oct 2023 00:11:47 GMT`` as a UTC timestamp; anything else is null."""
-    text = F.trim(c)
-    flat = F.regexp_replace(text, MAIL_DATE, "$1 $2 $3 $4:$5:$6")
-    return F.when(
-        text.rlike(MAIL_DATE), F.try_to_timestamp(flat, F.lit("d MMM yyyy H:m:s"))
+    flat = F.regexp_replace(F.trim(c), MAIL_DATE, MATCHED + "$1 $2 $3 $4:$5:$6")
+    return let(
+        flat,
+        lambda t: F.when(
+            F.startswith(t, F.lit(MATCHED)),
+            F.try_to_timestamp(F.substring(t, 2, 40), F.lit("d MMM yyyy H:m:s")),
+        ),
     )
 
 
@@ -36,15 +43,19 @@ def parse_lenient_mail_date(c: Column) -> Column:
     Weekday and seconds may be absent, month names may be long, years of two
     digits are read as 1969 to 2068.
     """
-    year = F.regexp_extract(c, LENIENT_MAIL_DATE, 3)
-    full_year = (
-        F.when(F.length(year) == 4, year)
-        .when(year < "69", F.concat(F.lit("20"), year))
-        .otherwise(F.concat(F.lit("19"), year))
-    )
-    day_month = F.regexp_replace(c, LENIENT_MAIL_DATE, "$1 $2 ")
-    parsed = F.try_to_date(F.concat(day_month, full_year), "d MMM yyyy")
-    return F.when(c.rlike(LENIENT_MAIL_DATE), F.date_format(parsed, "yyyy-MM-dd"))
+
+    def written_date(t: Column) -> Column:
+        year = F.substring_index(t, " ", -1)
+        full_year = (
+            F.when(F.length(year) == 4, year)
+            .when(year < "69", F.concat(F.lit("20"), year))
+            .otherwise(F.concat(F.lit("19"), year))
+        )
+        day_month = F.substring(F.substring_index(t, " ", 2), 2, 10)
+        parsed = F.try_to_date(F.concat_ws(" ", day_month, full_year), "d MMM yyyy")
+        return F.when(F.startswith(t, F.lit(MATCHED)), F.date_format(parsed, "yyyy-MM-dd"))
+
+    return let(F.regexp_replace(c, LENIENT_MAIL_DATE, MATCHED + "$1 $2 $3"), written_date)
 
 
 def iso_date(c: Column) -> Column:

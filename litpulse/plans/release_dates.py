@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litpulse.functions.dates import parse_lenient_mail_date
+from litpulse.functions.once import once
 from litpulse.operators.quality import hash_set_difference, key_set_difference
 from litpulse.schemas import DATED_RECORD
 
@@ -15,7 +16,9 @@ def with_publish_date(lines: DataFrame) -> DataFrame:
     versions = F.from_json("raw_json", DATED_RECORD)["metadata"]["versions"]
     # A column of its own, so that the JSON is parsed once for all uses of the text.
     created = lines.select("raw_json", F.get(versions, F.lit(0))["created"].alias("created"))
-    return created.select("raw_json", parse_lenient_mail_date(F.col("created")).alias("publish_date"))
+    return created.select(
+        "raw_json", once(parse_lenient_mail_date(F.col("created"))).alias("publish_date")
+    )
 
 
 def date_counts(dated: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from litpulse.functions.dates import epoch_date, iso_timestamp_date, parse_mail_timestamp, iso_utc_text
 from litpulse.functions.jsons import to_ints
+from litpulse.functions.once import once
 from litpulse.functions.text import blank_to_null, collapse_whitespace, name_of, owner_of, strip
 from litpulse.schemas import (
     ATOM_FEED,
@@ -128,8 +129,8 @@ def paper_fields(records: DataFrame, *keep: str) -> DataFrame:
 def classified_papers(pages: DataFrame, value: str, *keep: str) -> DataFrame:
     """Every record with its outcome: ``kept``, ``deleted``, ``parse_fail`` or ``date_fail``."""
     fields = paper_fields(page_records(pages, value, *keep), *keep)
-    published = parse_mail_timestamp(F.col("published_text"))
-    return fields.withColumn("published_date", iso_utc_text(published)).withColumn(
+    published = iso_utc_text(parse_mail_timestamp(F.col("published_text")))
+    return fields.select("*", once(published).alias("published_date")).withColumn(
         "outcome",
         F.when(F.col("is_deleted"), "deleted")
         .when(~F.col("has_metadata"), "parse_fail")
@@ -190,8 +191,7 @@ def atom_entries(feeds: DataFrame, value: str, *keep: str) -> DataFrame:
     )
     parsed = feeds.select(*keep, parse_xml(F.col(value), ATOM_FEED)["entry"].alias("entry"))
     return (
-        # An outer explode of the one entry keeps the null test above the parse.
-        parsed.select(*keep, F.explode_outer(F.array("entry")).alias("e"))
+        parsed.select(*keep, once(F.col("entry")).alias("e"))
         .where(e.isNotNull())
         .select(
             *keep,

@@ -116,3 +116,57 @@ def test_linked_repo_array(one):
     assert size('[{"repo_id":1},{"repo_id":2}]') == 2
     assert size('{"a":{"repo_id":1}}') == 1
     assert size("broken") == 0 and size(None) == 0
+
+
+def test_lenient_date_agrees_with_the_mail_parser(spark):
+    """Generated stamps in many forms against the standard library."""
+    from email.utils import parsedate_to_datetime
+
+    forms = (
+        "{wd}, {d} {m} {y} {t} GMT", "{d} {m} {y} {t} +0530", "{wd}, {d:02d} {m} {y} {hm} -0700", "{d} {m} {y} {hm}",
+        "{wd} {d} {m} {y} {t} GMT", "{y}-{d} {t}", "{m} {d} {y}", "{wd}, {d} {m} {y}",
+    )
+    values = []
+    for i in range(400):
+        day = D(1991, 1, 1) + dt.timedelta(days=37 * i)
+        stamp = dt.datetime(day.year, day.month, day.day, i % 24, i % 60, (7 * i) % 60)
+        values.append(
+            forms[i % len(forms)].format(
+                wd=day.strftime("%a"), d=day.day, m=day.strftime("%b"), y=day.year,
+                t=stamp.strftime("%H:%M:%S"), hm=stamp.strftime("%H:%M"),
+            )
+        )
+
+    def expected(text_):
+        try:
+            return parsedate_to_datetime(text_).strftime("%Y-%m-%d")
+        except (TypeError, ValueError):
+            return None
+
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = df.select("v", dates.parse_lenient_mail_date(F.col("v")).alias("d")).collect()
+    assert {r.v: r.d for r in got} == {v: expected(v) for v in values}
+
+
+def test_paper_ids_agree_with_a_plain_scan(spark):
+    """Random text against the patterns applied by hand."""
+    import random
+    import re
+
+    from litpulse.functions.ids import ID_PATTERNS
+
+    rnd = random.Random(5)
+    parts = ["arXiv:", "ARXIV ", "arxiv.org/abs/", "https://arxiv.org/pdf/", "eprint = {", "eprint='", " 2310.00826", "2310.00826",
+             "2310.00827v2", "hep-th/9901001", "math.GT/0309136", "}", "\n", " text ", "1234.123", "99999.99999"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(0, 14))) for _ in range(500)]
+
+    def expected(value):
+        found = {}
+        for fmt, pattern in ID_PATTERNS:
+            for m in re.finditer(pattern.replace("(?iU)", "(?i)"), value):
+                found.setdefault(m.group(1), fmt)
+        return list(found.items())
+
+    got = with_paper_ids(spark.createDataFrame(list(enumerate(texts)), "n int, t string"), "t").collect()
+    for row in got:
+        assert [tuple(x) for x in row["ids"]] == expected(texts[row.n])

@@ -201,3 +201,42 @@ def test_scratch_needs_a_shared_folder(spark):
 
     assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert session.materialise(spark.range(3).select(F.col("id")), "t").count() == 3
+
+
+def test_whole_files_and_gates(spark, rows, tmp_path):
+    from litpulse.sources import payloads
+
+    (tmp_path / "README.md").write_text("line one\nline two\n", encoding="utf8")
+    row = payloads.read_whole_files(spark, str(tmp_path)).first()
+    assert row.value == "line one\nline two\n" and row.path.endswith("README.md")
+    repos = rows([("o/a",), ("o/b",)], "full_name string")
+    readmes = rows([("o/a", "text")], "full_name string, readme string")
+    got = {r.full_name: r.readme for r in payloads.repos_with_readme(repos, readmes).collect()}
+    assert got == {"o/a": "text", "o/b": None}
+    assert tables.table_is_empty(repos.limit(0)) and not tables.table_is_empty(repos)
+    assert not tables.table_exists(spark, "no_such_table")
+    assert tables.list_objects(spark, str(tmp_path)).first().n_bytes == 18
+
+
+def test_exports(spark, rows, tmp_path):
+    ranking = rows([("d14", "star", 2, "b"), ("d14", "star", 1, "a")], "window_name string, metric string, rank int, arxiv_id string")
+    sinks.export_ranking(ranking, str(tmp_path / "r"))
+    assert [r.arxiv_id for r in spark.read.parquet(str(tmp_path / "r")).collect()] == ["a", "b"]
+    details = rows([("a", 3)], "arxiv_id string, cited_by_count int")
+    with pytest.raises(ValueError, match="details"):
+        sinks.export_citations(ranking, details.limit(0), str(tmp_path / "c"))
+    assert not (tmp_path / "c").exists()
+    sinks.export_citations(ranking, details, str(tmp_path / "c"))
+    assert spark.read.parquet(str(tmp_path / "c/details")).count() == 1
+
+
+def test_parsed_once(spark, rows):
+    """A filter on parsed output stays above the parse."""
+    from litpulse.sources import payloads
+
+    pages = rows([("<a/>",)], "value string")
+    df = payloads.kept_papers(payloads.classified_papers(pages, "value"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
+    raw = rows([("{}",)], "raw_json string")
+    df = release_dates.year_histogram(release_dates.with_publish_date(raw))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
