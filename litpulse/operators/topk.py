@@ -30,6 +30,33 @@ def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int)
     return df.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def value_floor(df: DataFrame, groups: Sequence[str], value: str, k: int) -> DataFrame:
+    """Per group the lowest value that a row among the k highest can have, as ``__floor``."""
+    counts = df.groupBy(*groups, value).agg(F.count("*").alias("__n"))
+    higher = F.sum("__n").over(Window.partitionBy(*groups).orderBy(F.col(value).desc())) - F.col("__n")
+    return (
+        counts.withColumn("__higher", higher)
+        .where(F.col("__higher") < k)
+        .groupBy(*groups)
+        .agg(F.min(value).alias("__floor"))
+    )
+
+
+def top_k_few_groups(
+    df: DataFrame, groups: Sequence[str], value: str, order: Sequence[Column], k: int
+) -> DataFrame:
+    """``top_k`` by a descending ``value`` for a known small number of groups.
+
+    Counting rows per value needs no sort and shuffles one row per distinct value.
+    Rows below the floor that follows from it cannot rank, so the sort sees little
+    more than k rows per group instead of everything. The input is read twice; it
+    should end in a shuffle, which both reads share.
+    """
+    floor = F.broadcast(value_floor(df, groups, value, k))  # one row per group
+    high = df.join(floor, list(groups)).where(F.col(value) >= F.col("__floor")).drop("__floor")
+    return top_k(high, groups, [F.col(value).desc(), *order], k)
+
+
 def first_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """The first k rows in order (a per-task top k, then a merge)."""
     return df.orderBy(*order).limit(k)

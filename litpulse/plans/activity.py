@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litpulse.functions.dates import ISO_DATE_PREFIX, iso_date
-from litpulse.operators.topk import hint_bounded, pivot_metrics, top_k, unpivot_windows
+from litpulse.operators.topk import (
+    hint_bounded,
+    pivot_metrics,
+    top_k,
+    top_k_few_groups,
+    unpivot_windows,
+)
 from litpulse.schemas import LINKED_REPO, METRICS
 from litpulse.sources.tables import tagged_union
 
@@ -123,8 +129,8 @@ def ranked_papers(by_paper: DataFrame, recent: DataFrame, k: int = TOP_K) -> Dat
         recent.distinct().withColumn("__recent", F.lit(True)), "arxiv_id", "left"
     ).withColumn("d14", F.when(F.col("__recent"), F.col("total")))
     long = unpivot_windows(flagged, ["arxiv_id", "metric"], {n: n for n in [*names, "d14"]})
-    return top_k(
-        long, ["window_name", "metric"], [F.col("metric_value").desc(), F.col("arxiv_id").asc()], k
+    return top_k_few_groups(
+        long, ["window_name", "metric"], "metric_value", [F.col("arxiv_id").asc()], k
     )
 
 
