@@ -349,8 +349,8 @@ def _(spark, sf):
     schema = "c_custkey bigint, c_name string"
     present = tables.read_optional(spark, f"{sf}/customer.parquet", schema)
     absent = tables.read_optional(spark, f"{sf}/not_published.parquet", schema)
-    return present.agg(F.count("*").alias("n_present")).crossJoin(  # 1 row x 1 row
-        absent.agg(F.count("*").alias("n_absent"))
+    return tables.side_by_side(
+        [present.agg(F.count("*").alias("n_present")), absent.agg(F.count("*").alias("n_absent"))]
     )
 
 

@@ -12,6 +12,7 @@ from litpulse.catalog.bindings import (
 from litpulse.catalog.registry import query
 from litpulse.operators import ledger, quality
 from litpulse.plans import queues
+from litpulse.sources.tables import side_by_side, tagged_union
 
 DAY = dt.date(2001, 6, 1)
 TARGET = dt.date(2001, 9, 1)
@@ -81,12 +82,7 @@ def _(spark, sf):
 
 
 def _one_row(parts):
-    """One-row frames side by side."""
-    frames = list(parts.values())
-    row = frames[0]
-    for df in frames[1:]:
-        row = row.crossJoin(F.broadcast(df))  # 1 row x 1 row
-    return row
+    return side_by_side(parts.values())
 
 
 def _hours(spark, sf, *states):
@@ -112,8 +108,6 @@ def _(spark, sf):
         "completed": ledger.next_hour(done, TARGET),
         "last_hour": ledger.next_hour(done.withColumn("task_hour", F.lit(23)), TARGET),
     }
-    from litpulse.sources.tables import tagged_union
-
     return tagged_union(frames, "kind")
 
 

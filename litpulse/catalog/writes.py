@@ -121,10 +121,10 @@ def _event_batch(rows):
     late = rows.where("date >= DATE'1999-01-01'")
     again = late.where("count % 3 <> 0")
     return (
-        again.withColumn("scan", F.lit(2))
-        .unionByName(again.withColumn("scan", F.lit(2)))
-        .unionByName(late.withColumns({"count": F.lit(0).cast("bigint"), "scan": F.lit(3)}))
-        .unionByName(again.withColumns({"count": F.lit(7).cast("bigint"), "scan": F.lit(1)}))
+        again.withColumns({"scan": F.lit(2), "page": F.lit(1)})
+        .unionByName(again.withColumns({"scan": F.lit(2), "page": F.lit(2)}))
+        .unionByName(late.withColumns({"count": F.lit(0).cast("bigint"), "scan": F.lit(3), "page": F.lit(1)}))
+        .unionByName(again.withColumns({"count": F.lit(7).cast("bigint"), "scan": F.lit(1), "page": F.lit(1)}))
     )
 
 
@@ -138,12 +138,12 @@ def _(spark, sf):
 def _(spark, sf):
     rows = events(spark, sf)
     landing, out, state = (scratch_path(spark, n) for n in ("landing", "events", "state"))
-    # The stored days land first, the later scans in a second delivery.
-    rows.withColumn("scan", F.lit(0)).repartition(4).write.json(landing)
+    # The stored days land first, the later scans in a second delivery of several batches.
+    rows.withColumns({"scan": F.lit(0), "page": F.lit(1)}).repartition(4).write.json(landing)
     streams.stream_events(spark, landing, out, state)
-    _event_batch(rows).coalesce(1).write.mode("append").json(landing)
-    streams.stream_events(spark, landing, out, state)
-    return streams.events_table(spark, out).read()
+    _event_batch(rows).repartition(4, "page", "scan").write.mode("append").json(landing)
+    streams.stream_events(spark, landing, out, state, files_per_batch=2)
+    return merge.daily_counts(streams.events_table(spark, out).read())
 
 
 @query(

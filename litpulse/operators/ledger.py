@@ -181,9 +181,9 @@ def set_status(anchors: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
 
 def with_baseline(ledger: DataFrame, baseline: DataFrame) -> DataFrame:
     """The baseline rows once, when the ledger has no rows at all."""
-    any_row = ledger.limit(1).agg(F.count("*").alias("__n"))
-    first = baseline.crossJoin(F.broadcast(any_row)).where("__n = 0").drop("__n")  # 1 row
-    return ledger.unionByName(first)
+    any_row = ledger.limit(1).select(F.lit(True).alias("__any"))
+    first = baseline.withColumn("__any", F.lit(True)).join(any_row, "__any", "left_anti")
+    return ledger.unionByName(first.drop("__any"))
 
 
 def with_baseline_key(ledger: DataFrame, baseline: DataFrame, keys: Sequence[str]) -> DataFrame:

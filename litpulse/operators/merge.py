@@ -63,6 +63,25 @@ def merge_events(events: DataFrame, batch: DataFrame, scan: str) -> DataFrame:
     return replace_by_key(events, latest.select(*events.columns), day)
 
 
+def merge_event_pages(pages: DataFrame, batch: DataFrame) -> DataFrame:
+    """Page-wise event upsert: a page replaces itself, and only a day's latest scan is kept.
+
+    Keeping pages apart makes the result the same for any split of a scan into
+    batches and for any repetition of a batch.
+    """
+    day = ["repo_id", "metric", "date"]
+    page = [*day, "scan", "page"]
+    fresh = batch.where("count > 0").groupBy(*page).agg(F.max("count").alias("count"))
+    merged = replace_by_key(pages, fresh.select(*pages.columns), page)
+    latest = merged.groupBy(*day).agg(F.max("scan").alias("scan"))
+    return merged.join(latest, [*day, "scan"], "left_semi").select(*pages.columns)
+
+
+def daily_counts(pages: DataFrame) -> DataFrame:
+    """The daily event table of page-wise counts."""
+    return pages.groupBy("repo_id", "metric", "date").agg(F.sum("count").alias("count"))
+
+
 def merge_repos(repos: DataFrame, batch: DataFrame, sequence: str) -> DataFrame:
     """Repository upsert: names are replaced, the first known ``created`` stays."""
     # The earliest known creation date in the batch is the one a row-wise upsert keeps.

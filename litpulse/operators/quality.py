@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litpulse.schemas import METRICS
-from litpulse.sources.tables import union_all
+from litpulse.sources.tables import side_by_side, union_all
 
 # Allowed window names and task states.
 WINDOW_NAME = r"^(rolling_7d|rolling_30d|rolling_3m|rolling_6m|year_ytd|total|d14)$|^year_\d{4}$"
@@ -95,7 +95,6 @@ def missing_details(ranking: DataFrame, details: DataFrame) -> DataFrame:
 
 def citation_report(ranking: DataFrame, details: DataFrame, status: Column) -> DataFrame:
     """One row: counts, windows, highest rank, bad windows, missing details, and the verdict."""
-    # Every part is a single row.
     parts = [
         ranking.agg(
             F.count("*").alias("n_ranking"),
@@ -106,9 +105,7 @@ def citation_report(ranking: DataFrame, details: DataFrame, status: Column) -> D
         bad_rank_windows(ranking).agg(F.count("*").alias("n_bad_windows")),
         missing_details(ranking, details).agg(F.count("*").alias("n_missing_details")),
     ]
-    row = parts[0]
-    for part in parts[1:]:
-        row = row.crossJoin(F.broadcast(part))
+    row = side_by_side(parts)
     passed = (
         (F.col("n_ranking") > 0)
         & (F.col("max_rank") <= MAX_RANK)

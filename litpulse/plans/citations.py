@@ -131,19 +131,19 @@ def rank_candidates(candidates: DataFrame, as_of: dt.date, k: int = TOP_K) -> Da
 
 
 def rank_in_windows(candidates: DataFrame, windows: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Top k per row of a small window table (``window_name``, ``start_date``, ``end_date``).
+    """Top k per row of a window table (``window_name``, ``start_date``, ``end_date``).
 
-    For windows that are not tied to the calendar. The table is grouped into one
-    row and tested inside the expression, so no candidate pair is built.
+    For windows that are not tied to the calendar. The table has tens of rows, one
+    per year at most; it becomes part of the expression, so nothing is joined.
     """
-    table = windows.agg(F.collect_list(F.struct("window_name", "start_date", "end_date")).alias("__w"))
-    hits = F.filter(
-        "__w", lambda w: F.col("paper_date").between(w["start_date"], w["end_date"])
+    tests = [
+        F.when(F.col("paper_date").between(F.lit(w.start_date), F.lit(w.end_date)), F.lit(w.window_name))
+        for w in windows.collect()
+    ]
+    names = F.filter(F.array(*tests), lambda n: n.isNotNull())
+    members = candidates.select(
+        F.explode(names).alias("window_name"), "arxiv_id", "cited_by_count"
     )
-    members = candidates.crossJoin(F.broadcast(table)).select(  # one row on the right
-        F.explode(F.transform(hits, lambda w: w["window_name"])).alias("window_name"),
-        "arxiv_id", "cited_by_count",
-    )
     return top_k(
         members, ["window_name"], [F.col("cited_by_count").desc(), F.col("arxiv_id").asc()], k
     )

@@ -9,6 +9,7 @@ from litpulse.functions.dates import parse_lenient_mail_date
 from litpulse.functions.once import once
 from litpulse.operators.quality import hash_set_difference, key_set_difference
 from litpulse.schemas import DATED_RECORD
+from litpulse.sources.tables import side_by_side
 
 
 def with_publish_date(lines: DataFrame) -> DataFrame:
@@ -104,14 +105,12 @@ def lossless_report(raw: DataFrame, stored: DataFrame) -> DataFrame:
     """
     ids_raw = raw.select(F.get_json_object("raw_json", "$.paper_id").alias("key"))
     ids_stored = stored.select(F.get_json_object("raw_json", "$.paper_id").alias("key"))
-    counts = (
-        raw.agg(F.count("*").alias("n_left"))
-        .crossJoin(F.broadcast(stored.agg(F.count("*").alias("n_right"))))  # 1 row x 1 row
-        .select(
-            F.lit("rows").alias("layer"), "n_left", "n_right",
-            F.greatest(F.col("n_left") - F.col("n_right"), F.lit(0)).alias("only_left"),
-            F.greatest(F.col("n_right") - F.col("n_left"), F.lit(0)).alias("only_right"),
-        )
+    counts = side_by_side(
+        [raw.agg(F.count("*").alias("n_left")), stored.agg(F.count("*").alias("n_right"))]
+    ).select(
+        F.lit("rows").alias("layer"), "n_left", "n_right",
+        F.greatest(F.col("n_left") - F.col("n_right"), F.lit(0)).alias("only_left"),
+        F.greatest(F.col("n_right") - F.col("n_left"), F.lit(0)).alias("only_right"),
     )
     keys = key_set_difference(ids_raw, ids_stored, "key").withColumn("layer", F.lit("ids"))
     hashes = hash_set_difference(raw, stored, "raw_json").withColumn("layer", F.lit("hashes"))

@@ -15,6 +15,8 @@ PAPERS = (
 REPOS = "repo_id bigint, full_name string, owner string, name string, created date"
 EDGES = "repo_id bigint, arxiv_id string, added boolean, date date"
 EVENTS = "repo_id bigint, metric string, date date, count bigint"
+# Counts of one landed page: pages of a scan add up, a later scan replaces the day.
+EVENT_PAGES = f"{EVENTS}, scan bigint, page int"
 WORKS = (
     "work_id string, arxiv_id string, cited_by_count bigint, referenced_works_count int,"
     " publication_date date, publication_year int, is_oa boolean, oa_status string, type string,"

@@ -16,6 +16,7 @@ from litpulse.schemas import (
     SEARCH_PAGE,
     STAR_WEEK,
 )
+from litpulse.sources.tables import side_by_side
 
 STAR_PAGE_WEEKS = 30
 MAX_PAGES = 100
@@ -158,7 +159,7 @@ def harvest_counters(classified: DataFrame, pages: DataFrame) -> DataFrame:
         F.count("*").alias("fetched"), n("kept").alias("written"), n("deleted").alias("deleted"),
         n("parse_fail").alias("parse_fail"), n("date_fail").alias("date_fail"),
     )
-    return records.crossJoin(F.broadcast(pages.agg(F.count("*").alias("pages"))))  # 1 row x 1 row
+    return side_by_side([records, pages.agg(F.count("*").alias("pages"))])
 
 
 def single_record_fields(pages: DataFrame, value: str, *keep: str) -> DataFrame:

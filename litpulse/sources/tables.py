@@ -132,6 +132,12 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def side_by_side(frames: Iterable[DataFrame]) -> DataFrame:
+    """One-row frames with different columns as a single row, without a join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
+
+
 def tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
     """UNION ALL of several tables, each with its name in column ``tag``."""
     return union_all(df.withColumn(tag, F.lit(name)) for name, df in frames.items())

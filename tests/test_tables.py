@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from litpulse.operators import merge, quality
 from litpulse.plans import release_dates
-from litpulse.schemas import EDGES, EVENTS, PAPERS, REPOS
+from litpulse.schemas import EDGES, EVENT_PAGES, EVENTS, PAPERS, REPOS
 from litpulse.sources import documents, jsonl, sinks, tables
 from litpulse.streaming import ingest
 
@@ -155,14 +155,20 @@ def test_release_dates(spark, rows, tmp_path):
 def test_streams_equal_batches(spark, rows, tmp_path):
     """Two deliveries, with a restart between them and a late re-scan of an old day."""
     landing, out, state = (str(tmp_path / n) for n in ("landing", "out", "state"))
-    first = rows([(1, "star", D(2020, 1, 1), 5, 1), (1, "star", D(2026, 1, 1), 2, 1), (2, "fork", D(2026, 1, 1), 0, 1)], f"{EVENTS}, scan bigint")
-    second = rows([(1, "star", D(2020, 1, 1), 3, 2), (1, "star", D(2020, 1, 1), 4, 2), (3, "pr", D(2026, 2, 1), 1, 2)], f"{EVENTS}, scan bigint")
+    old, new = D(2020, 1, 1), D(2026, 1, 1)
+    first = rows([(1, "star", old, 5, 1, 1), (1, "star", new, 2, 1, 1), (2, "fork", new, 0, 1, 1)], EVENT_PAGES)
+    second = rows([(1, "star", old, 3, 2, 1), (1, "star", old, 4, 2, 2), (3, "pr", new, 1, 2, 1)], EVENT_PAGES)
     first.write.json(landing)
     ingest.stream_events(spark, landing, out, state)
-    second.coalesce(1).write.mode("append").json(landing)
+    # One file per row and one file per batch: the two pages of a day meet in the table.
+    second.repartition(3, "repo_id", "page").write.mode("append").json(landing)
     for _ in range(2):  # the second run finds nothing new
-        ingest.stream_events(spark, landing, out, state)
-    got = {(r.repo_id, r.metric, r.date, r["count"]) for r in ingest.events_table(spark, out).read().collect()}
+        ingest.stream_events(spark, landing, out, state, files_per_batch=1)
+    daily = merge.daily_counts(ingest.events_table(spark, out).read())
+    got = {(r.repo_id, r.metric, r.date, r["count"]) for r in daily.collect()}
+    # A batch that is repeated changes nothing.
+    ingest.events_table(spark, out).merge(second, merge.merge_event_pages)
+    assert merge.daily_counts(ingest.events_table(spark, out).read()).exceptAll(daily).isEmpty()
     empty = rows([], EVENTS)
     batch = merge.merge_events(merge.merge_events(empty, first, "scan"), second, "scan")
     assert got == {(r.repo_id, r.metric, r.date, r["count"]) for r in batch.collect()}
