@@ -83,7 +83,11 @@ def daily_counts(pages: DataFrame) -> DataFrame:
 
 
 def merge_repos(repos: DataFrame, batch: DataFrame, sequence: str) -> DataFrame:
-    """Repository upsert: names are replaced, the first known ``created`` stays."""
+    """Repository upsert: names are replaced, the first known ``created`` stays.
+
+    The stored table only meets the keys of the batch, in a semi and an anti join,
+    so a small batch is broadcast and the table is not shuffled.
+    """
     # The earliest known creation date in the batch is the one a row-wise upsert keeps.
     known = F.when(F.col("created").isNotNull(), F.col(sequence))
     fresh = batch.groupBy("repo_id").agg(
@@ -92,15 +96,13 @@ def merge_repos(repos: DataFrame, batch: DataFrame, sequence: str) -> DataFrame:
         F.max_by("name", sequence).alias("name"),
         F.min_by("created", known).alias("created"),
     )
-    n, o = fresh.alias("n"), repos.alias("o")
-    # The batch row decides, so a null name in it is kept as null.
-    seen = F.col("n.repo_id").isNotNull()
-    take = {c: F.when(seen, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")) for c in ("full_name", "owner", "name")}
-    return o.join(n, F.col("o.repo_id") == F.col("n.repo_id"), "full_outer").select(
-        F.coalesce("n.repo_id", "o.repo_id").alias("repo_id"),
-        *(c.alias(name) for name, c in take.items()),
-        F.coalesce("o.created", "n.created").alias("created"),
+    known_date = repos.join(fresh.select("repo_id"), "repo_id", "left_semi").select(
+        "repo_id", F.col("created").alias("__first")
+    )
+    merged = fresh.join(known_date, "repo_id", "left").withColumn(
+        "created", F.coalesce("__first", "created")
     )
+    return replace_by_key(repos, merged.select(*repos.columns), ["repo_id"])
 
 
 def merge_edges(
