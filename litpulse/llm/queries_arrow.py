@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litpulse.llm import html, ordermin, packing, residual, secrets, vectors
+from litpulse.llm import html, linejoin, ordermin, packing, residual, secrets, vectors
 from litpulse.llm.common import table
 from litpulse.llm.registry import query
 from litpulse.llm.tokens import public_path
@@ -49,6 +49,11 @@ def line_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return html.extract(table(spark, sf, "pages"))
 
 
+@query("op8_line_edit_join")
+def line_edit_join(spark: SparkSession, sf: str) -> DataFrame:
+    return linejoin.line_classes(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 #: The search's contract: components times 64, every twentieth id asks, 20 answers.
 SCALE, EVERY, ANSWERS = 64, 20, 20
 
