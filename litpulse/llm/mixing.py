@@ -37,7 +37,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCEN
     Targets are proportional to the weights up to ``most_times`` the source's
     size; what a full source cannot take is shared anew among the others. With the
     sources ordered by capacity over weight, the full ones are a prefix, so one
-    running sum finds the level; no loop. The windows run over one row per source.
+    running sum finds the level; no loop. Behind the true level the computed ones fall. The windows run over one row per source.
     """
     per = sizes.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -55,7 +55,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCEN
     )
     level = (F.col("wanted") - F.col("full")).cast("double") / (F.col("open") * 100).cast("double")
     fits = level <= F.col("room").cast("double") / F.col("weight").cast("double")
-    per = per.withColumn("level", F.min(F.when(fits, level)).over(every))
+    per = per.withColumn("level", F.max(F.when(fits, level)).over(every))
     # A share beyond all room leaves no level: every source is then full.
     target = F.least(F.col("room").cast("double"), F.col("level") * F.col("weight").cast("double"))
     return per.select("source", "source_size", target.alias("target"))

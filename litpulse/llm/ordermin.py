@@ -5,13 +5,11 @@ functions takes the two labelled k-mers of least hash and keeps them in text ord
 texts agree in such a sample if they share both k-mers and their order, which makes the
 sketch sensitive to edits that move text. Equal samples form a bucket.
 
-No pairs are formed within a bucket. Its most central text is its pivot, and every other member
-is verified against the pivot alone. A member ``y`` that is not similar to the pivot can still be
-similar to another member ``x``. Let ``D(x)`` be the k-mers in which ``x`` and the pivot differ. If
-``D(x)`` and ``D(y)`` were disjoint, ``x`` and ``y`` would differ in at least as many k-mers, for their sizes,
-as ``y`` and the pivot do, and could not be similar either. So the members are dealt into new
-buckets by such k-mers, and the same step runs again until no bucket holds a pair that
-is neither connected nor excluded. Nothing is capped.
+A bucket's most central text is its pivot, and every other member is verified against the pivot
+alone; groups of copies are thereby connected in linear work. Two members of which one is not
+connected to their pivot can still be similar. These, and only these, are compared in blocks: the
+unconnected members of a pivot against all its members, a bounded number of texts a side per
+task, and nothing but links leaves a task. No link between candidates is lost, and nothing is capped.
 """
 
 from __future__ import annotations
@@ -22,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +31,8 @@ from litpulse.session import materialise
 WORDS = 5
 SIMILARITY = 0.8
 SAMPLES = 12
-#: Pivots per bucket from the second round on; they only change how many rounds there are.
-LATER_PIVOTS = 16
+#: Texts a side of a block; it bounds a task's memory and rows.
+BLOCK = 192
 
 TOKEN = re.compile(r"\w+")
 _MIX = tuple(np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -167,16 +166,26 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> tuple
     return common / (len(a) + len(b) - common), matched / (len(a) + len(b) - matched)
 
 
-def residues(a: np.ndarray, pivot: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
-    """K-mers in which ``a`` and the pivot differ: as many of the first as must meet one of a similar text.
-
-    The order is the same for all texts of a pivot: k-mers the pivot lacks by hash, then those
-    only it has by hash. A similar text has ``len(a) / least`` k-mers at most, so it differs from ``a``
-    in at most ``(1 - least) / least * len(a)``; fewer of these precede the first that both differ in.
-    """
-    most = int((1 - least) / least * len(a) + 1e-9) + 1
-    own = np.sort(np.setdiff1d(a, pivot, assume_unique=True))[:most]
-    return own if len(own) == most else np.append(own, np.sort(np.setdiff1d(pivot, a, assume_unique=True))[: most - len(own)])
+def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], least: float = SIMILARITY) -> np.ndarray:
+    """``(i, j)`` of all texts of either side whose k-mer sets are similar."""
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    if not left or not right or not sizes[0].sum() or not sizes[1].sum():
+        return np.empty((0, 2), dtype=np.int64)
+    flat = [np.concatenate(side) for side in (left, right)]
+    shared = np.intersect1d(*flat)
+    common = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, len(shared), 4096):
+        part = shared[at : at + 4096]
+        marks = []
+        for values, size in zip(flat, sizes, strict=True):
+            place = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[place] == values
+            m = np.zeros((len(size), len(part)), dtype=np.float32)
+            m[np.repeat(np.arange(len(size)), size)[hit], place[hit]] = 1
+            marks.append(m)
+        common += marks[0] @ marks[1].T
+    either = sizes[0][:, None] + sizes[1][None, :] - common
+    return np.argwhere((common >= least * either) & (either > 0))
 
 
 def signatures(texts: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -194,31 +203,20 @@ def signatures(texts: DataFrame, samples: int = SAMPLES) -> DataFrame:
     return texts.select("h", "text").mapInArrow(run, "key long, h string")
 
 
-def _with_pivots(members: DataFrame, round_no: int) -> DataFrame:
-    """``a, p, wide``: members with their buckets' pivots.
-
-    The first round has one pivot per bucket, the text of the largest buckets in sum. Later rounds
-    deal a bucket's members to slots by hash and take the pivot of each slot; in a bucket of
-    no more members than slots each is a pivot, and the bucket is settled. ``wide`` where a bucket has two members that are not pivots:
-    any other pair in it is among the pairs themselves.
-    """
-    slots = 1 if round_no == 1 else LATER_PIVOTS
+def with_pivots(members: DataFrame) -> DataFrame:
+    """``a, p``: members of the buckets of ``key, h`` with their pivots, the texts of the largest buckets in sum."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialise(members.join(sizes, "key"), "shared")
     central = shared.groupBy("h").agg(F.sum("n").alias("c"))
-    own = F.xxhash64(F.lit(round_no), "h")
-    slot = F.when(F.col("n") > slots, F.pmod(own, F.lit(slots))).otherwise(own).alias("slot")
-    ranked = shared.join(central, "h").select("key", "h", "c", slot)
-    pivots = ranked.groupBy("key", "slot").agg(F.max(F.struct("c", "h")).alias("m")).select("key", F.col("m.h").alias("p"))
-    number = pivots.groupBy("key").agg(F.count(F.lit(1)).alias("pivots"))
-    pivots = pivots.join(number, "key")
-    found = shared.join(pivots, "key").where("h != p").groupBy(F.col("h").alias("a"), "p").agg(F.max(F.col("n") - F.col("pivots") > 1).alias("wide"))
-    return materialise(found, "pairs")
+    ranked = shared.join(central, "h").select("key", "h", "c")
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("c", "h")).alias("m")).select("key", F.col("m.h").alias("p"))
+    found = shared.join(pivots, "key").where("h != p").select(F.col("h").alias("a"), "p")
+    return materialise(found.distinct(), "pairs")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Pairs ``a, p`` with their similarity and the k-mers in which ``a`` differs from the pivot."""
-    schema = pa.schema([("a", pa.string()), ("p", pa.string()), ("sim", pa.float64()), ("aligned", pa.float64()), ("rest", pa.list_(pa.int64()))])
+    """Pairs ``a, p`` with their similarity and the share that aligns in order."""
+    schema = pa.schema([("a", pa.string()), ("p", pa.string()), ("sim", pa.float64()), ("aligned", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,14 +226,48 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
                 new = {i: t for i, t in zip(ids, batch.column(column).to_pylist(), strict=True) if i not in known}
                 x, counts = kmers(list(new.values()))
                 known.update(zip(new, np.split(x, np.cumsum(counts)[:-1]), strict=True))
-            out = [(*similarity(known[i], known[j], least), residues(known[i], known[j], least).view(np.int64).tolist()) for i, j in zip(a, p, strict=True)]
-            sims, alignments, rest = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((a, p, sims, alignments, rest), schema, strict=True)], schema=schema)
+            out = [similarity(known[i], known[j], least) for i, j in zip(a, p, strict=True)]
+            columns = (a, p, [x for x, _ in out], [y for _, y in out])
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
 
     left = texts.select(F.col("h").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("h").alias("p"), F.col("text").alias("text_p"))
     whole = pairs.join(left, "a").join(right, "p").select("a", "p", "text_a", "text_p")
-    return whole.mapInArrow(run, "a string, p string, sim double, aligned double, rest array<long>")
+    return whole.mapInArrow(run, "a string, p string, sim double, aligned double")
+
+
+def links_beside_pivots(pairs: DataFrame, roots: DataFrame, texts: DataFrame, least: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """Links ``a, b`` between members of a pivot of which one is not connected to it.
+
+    The unconnected members, dealt to blocks by hash, meet all members, dealt to blocks likewise; a
+    pair of blocks is one group of a bounded number of texts.
+    """
+    root_of = lambda name: roots.select(F.col("id").alias(name), F.col("root").alias(f"root_{name}"))
+    seen = pairs.join(root_of("a"), "a", "left").join(root_of("p"), "p", "left")
+    seen = seen.select("a", "p", F.coalesce("root_a", "a").alias("root"), (F.coalesce("root_a", "a") != F.coalesce("root_p", "p")).alias("open"))
+    seen = materialise(seen, "members")
+    number = lambda c: F.ceil(c / F.lit(block)).cast("bigint")
+    groups = seen.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("m")).where("m > 0 AND n > 1")
+    groups = groups.select("p", number(F.col("n")).alias("xs"), number(F.col("m")).alias("ys"))
+    each = seen.join(groups, "p")
+    deal = lambda n: F.pmod(F.xxhash64("a"), F.col(n))
+    every = lambda n: F.explode(F.expr(f"sequence(0L, {n} - 1)"))
+    x_side = each.select("p", "a", "root", F.lit(False).alias("asks"), deal("xs").alias("i"), every("ys").alias("j"))
+    y_side = each.where("open").select("p", "a", "root", F.lit(True).alias("asks"), every("xs").alias("i"), deal("ys").alias("j"))
+    dealt = x_side.unionByName(y_side).join(texts.withColumnRenamed("h", "a"), "a")
+    schema = pa.schema([("a", pa.string()), ("b", pa.string())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        sides = []
+        for asks in (True, False):
+            part = rows.filter(pa.compute.equal(rows["asks"], asks))
+            x, counts = kmers(part["text"].to_pylist())
+            sides.append((part["a"].to_pylist(), part["root"].to_pylist(), np.split(x, np.cumsum(counts)[:-1]) if part.num_rows else []))
+        (a, root_a, left), (b, root_b, right) = sides
+        found = [(a[i], b[j]) for i, j in similar_pairs(left, right, least).tolist() if root_a[i] != root_b[j]]
+        return pa.table([pa.array([f[k] for f in found], pa.string()) for k in range(2)], schema=schema)
+
+    return dealt.groupBy("p", "i", "j").applyInArrow(run, "a string, b string")
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY, samples: int = SAMPLES) -> DataFrame:
@@ -248,36 +280,17 @@ def classes(docs: DataFrame, least: float = SIMILARITY, samples: int = SAMPLES)
     base = base.withColumn("h", F.md5(F.col("text").cast("binary")))
     texts = materialise(base.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "texts")
     buckets = materialise(signatures(base, samples).distinct(), "buckets")
-    pairs = fresh = _with_pivots(buckets, 1)
-    round_no = 1
+    pairs = with_pivots(buckets)
     # Texts of the pairs, one row each: copies are told apart by their id before they meet.
     involved = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("p").alias("h"))).distinct()
     wanted = texts.join(involved, "h").select(F.col("h").alias("wanted_h"), F.col("doc_id").alias("wanted_id"))
     whole = base.join(wanted, (base["h"] == wanted["wanted_h"]) & base["doc_id"].eqNullSafe(wanted["wanted_id"]))
     whole = materialise(whole.select("h", "text").dropDuplicates(["h"]), "pair_texts")
-    tested = members = roots = None
-    while True:
-        done = materialise(verify(fresh, whole, least), "verified")
-        tested = done if tested is None else tested.unionByName(done)
-        wide = pairs.where("wide").select("a", "p")
-        members = wide if members is None else members.union(wide).distinct()
-        if roots is None or done.where(F.col("sim") >= least).limit(1).count():
-            roots = components(tested.where(F.col("sim") >= least).select("a", F.col("p").alias("b")))
-        root_of = lambda name: roots.select(F.col("id").alias(name), F.col("root").alias(f"root_{name}"))  # noqa: E731, B023
-        # All that was ever tested against this round's pivots.
-        shown = members.join(wide.select("p").distinct(), "p").join(root_of("a"), "a", "left").join(root_of("p"), "p", "left")
-        shown = shown.withColumn("root_a", F.coalesce("root_a", "a")).withColumn("root_p", F.coalesce("root_p", "p"))
-        shown = materialise(shown, "shown")
-        of_pivot = shown.groupBy("p").agg(F.min("root_a").alias("lo"), F.max("root_a").alias("hi")).where("lo != hi").select("p")
-        rest = shown.join(of_pivot, "p").join(tested.select("a", "p", "rest"), ["a", "p"])
-        rest = rest.select(F.explode("rest").alias("k"), "p", "a", "root_a")
-        rest = materialise(rest.select(F.xxhash64("p", "k").alias("key"), F.col("a").alias("h"), "root_a"), "rest")
-        split = rest.groupBy("key").agg(F.min("root_a").alias("lo"), F.max("root_a").alias("hi")).where("lo != hi").select("key")
-        pairs = _with_pivots(rest.join(split, "key").select("key", "h"), round_no := round_no + 1)
-        fresh = materialise(pairs.join(tested.select("a", "p"), ["a", "p"], "left_anti"), "fresh")
-        joined = pairs.where("wide").join(members, ["a", "p"], "left_anti")
-        if fresh.limit(1).count() == 0 and joined.limit(1).count() == 0:
-            break
+    links = materialise(verify(pairs, whole, least).where(F.col("sim") >= least).select("a", F.col("p").alias("b")), "links")
+    roots = components(links)
+    more = materialise(links_beside_pivots(pairs, roots, whole, least), "links")
+    if more.limit(1).count():
+        roots = components(links.union(more))
     return texts.join(roots.withColumnRenamed("id", "h"), "h", "left").select("h", "doc_id", "copies", F.coalesce("root", "h").alias("root"))
 
 

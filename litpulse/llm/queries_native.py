@@ -68,7 +68,7 @@ sums AS (
 levels AS (
   SELECT *, CAST(wanted - filled AS DOUBLE) / CAST(open * 100 AS DOUBLE) AS lev FROM sums),
 leveled AS (
-  SELECT *, min(CASE WHEN lev <= CAST(room AS DOUBLE) / CAST(weight AS DOUBLE) THEN lev END) OVER () AS level FROM levels),
+  SELECT *, max(CASE WHEN lev <= CAST(room AS DOUBLE) / CAST(weight AS DOUBLE) THEN lev END) OVER () AS level FROM levels),
 targets AS (
   SELECT source, source_size, least(CAST(room AS DOUBLE), level * CAST(weight AS DOUBLE)) AS target FROM leveled),
 rated AS (
