@@ -181,8 +181,9 @@ def viterbi(e: np.ndarray, pairs: np.ndarray, before: bool, after: bool) -> list
 
 def decode(e: np.ndarray, pairs: np.ndarray) -> dict[int, int]:
     """Places whose best tag is not *outside*."""
-    # The most that pair scores around one token can gain over passing it as outside.
-    gain = max(pairs[a, y] + pairs[y, b] - pairs[a, OUT] - pairs[OUT, b] for a in range(3) for b in range(3) for y in (BEGIN, INSIDE))
+    # The most that pair scores around one token can gain over passing it as outside, at an end or between two others.
+    into, out_of = pairs[:, 1:] - pairs[:, [OUT]], pairs[1:] - pairs[OUT]
+    gain = max(into.max(), out_of.max(), max((into[:, [y]] + out_of[[y]]).max() for y in range(2)), 0.0)
     open_ = np.flatnonzero(e[:, OUT] - e[:, BEGIN:].max(axis=1) <= gain + 1e-9)
     found: dict[int, int] = {}
     if not len(open_):
