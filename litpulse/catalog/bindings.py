@@ -11,8 +11,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litpulse.sources.tables import spread
-
 SNAP = dt.date(2001, 6, 1)
 FIRST_YEAR = 1995
 
@@ -23,7 +21,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def parse_input(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table whose rows are turned into payloads and parsed."""
-    return spread(table(spark, sf, name).select(*columns))
+    return table(spark, sf, name).select(*columns)
 
 
 def as_id(c: str) -> Column:

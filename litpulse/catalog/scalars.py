@@ -127,10 +127,13 @@ def _(spark, sf):
 
 @query(
     "iso_stamp_dates",
-    """SELECT event_id, CAST(ts AS DATE) AS written, CAST(ts AS DATE) AS instant_date FROM events""",
+    """SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN CAST(ts AS DATE) END AS written,
+       CASE WHEN event_id % 11 <> 0 THEN CAST(ts AS DATE) END AS instant_date FROM events""",
 )
 def _(spark, sf):
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    # Every eleventh stamp has an impossible time.
+    form = F.when(F.col("event_id") % 11 == 0, F.date_format("ts", "yyyy-MM-dd'T99:99:99Z'"))
+    stamp = form.otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     return table(spark, sf, "events").select(
         "event_id",
         dates.iso_timestamp_date(stamp).alias("written"),

@@ -64,8 +64,8 @@ def iso_date(c: Column) -> Column:
 
 
 def iso_timestamp_date(c: Column) -> Column:
-    """The date of a complete ISO time stamp such as ``2026-10-01T00:00:00Z``."""
-    return F.when(c.rlike(ISO_TIMESTAMP), iso_date(c))
+    """The written date of a complete ISO time stamp; null where date or time is impossible."""
+    return F.when(c.rlike(ISO_TIMESTAMP) & F.try_to_timestamp(c).isNotNull(), iso_date(c))
 
 
 def iso_instant(c: Column) -> Column:

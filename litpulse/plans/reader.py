@@ -75,7 +75,7 @@ def window_label(name: Column, snap_year: Column) -> Column:
             F.startswith(name, F.lit("rolling_")),
             F.concat(F.lit(ROLLING_LABEL), F.replace(name, F.lit("rolling_"), F.lit(""))),
         )
-        .when(F.startswith(name, F.lit("year_")), F.concat(F.substring(name, 6, 100), F.lit(YEAR_LABEL)))
+        .when(F.startswith(name, F.lit("year_")), F.concat(F.substr(name, F.lit(6)), F.lit(YEAR_LABEL)))
         .otherwise(name)
     )
 
@@ -91,7 +91,7 @@ def window_order(name: Column) -> list[Column]:
         .when(year, F.lit(YEAR_GROUP))
         .otherwise(F.lit(OTHER_GROUP))
         .asc(),
-        F.when(year & ~fixed, F.substring(name, 6, 100)).desc_nulls_last(),
+        F.when(year & ~fixed, F.substr(name, F.lit(6))).desc_nulls_last(),
         F.when(fixed, F.try_element_at(within, name)).when(~year, name).asc_nulls_first(),
         name.asc(),
     ]

@@ -84,9 +84,9 @@ def sample_matches(raw: DataFrame, stored: DataFrame, n: int = 5) -> DataFrame:
     sample = sample_rows(stored.select("raw_json"), n).select(
         pid.alias("paper_id"), F.col("raw_json").alias("stored_json")
     )
-    hit = raw.select(pid.alias("paper_id"), "raw_json").join(
-        F.broadcast(sample), "paper_id", "right"  # n rows
-    )
+    # Only the sampled lines leave the scan: n rows are broadcast to it.
+    hit = raw.select(pid.alias("paper_id"), "raw_json").join(F.broadcast(sample.select("paper_id").distinct()), "paper_id")
+    hit = sample.join(hit, "paper_id", "left")
     a, b = F.json_object_keys("raw_json"), F.json_object_keys("stored_json")
     return hit.groupBy("paper_id").agg(
         F.bool_or(F.md5("raw_json") == F.md5("stored_json")).alias("same_hash"),

@@ -35,7 +35,7 @@ def document_profile(records: DataFrame, raw: str, *keep: str) -> DataFrame:
         n("d.metadata.versions").alias("n_versions"),
         F.coalesce(F.length("d.abstract.text"), F.lit(0)).cast("bigint").alias("abstract_chars"),
         n("d.sections").alias("n_sections"),
-        F.slice(F.map_keys("d.sections"), 1, 5).alias("section_names"),
+        F.map_keys("d.sections").alias("section_names"),
         n("d.bib_entries").alias("n_bib"),
         n("d.ref_entries").alias("n_ref"),
         F.octet_length("raw").cast("bigint").alias("n_bytes"),

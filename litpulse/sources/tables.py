@@ -48,21 +48,13 @@ def read_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """An input in fewer splits than there are cores, spread out before costly parsing.
+def latest_snapshot(df: DataFrame, version: str) -> DataFrame:
+    """Rows of the highest version, null versions left out; none has no rows.
 
-    A large table has more splits than cores and is returned as it is.
+    The version is found first, so that the filter is a literal that prunes partitions.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def latest_snapshot(df: DataFrame, version: str) -> DataFrame:
-    """Rows of the highest version; the maximum is one row, so the join broadcasts it."""
-    top = df.agg(F.max(version).alias("__latest"))
-    return (
-        df.join(F.broadcast(top), F.col(version) == F.col("__latest"), "left_semi")
-    )
+    top = df.agg(F.max(version)).first()[0]
+    return df.where(F.lit(False)) if top is None else df.where(F.col(version) == F.lit(top))
 
 
 def list_objects(spark: SparkSession, path: str) -> DataFrame:
