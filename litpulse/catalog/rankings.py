@@ -290,8 +290,8 @@ def _(spark, sf):
            repo_id, full_name, owner, star_total, fork_total, issue_total, pr_total FROM linked""",
 )
 def _(spark, sf):
-    rows = paper_detail_rows(spark, sf).select("arxiv_id", F.posexplode("linked_repos").alias("p", "r"))
-    return rows.select("arxiv_id", (F.col("p") + 1).alias("position"), "r.*")
+    linked = activity.ordered_repos(_linked(spark, sf, stored_ranking(spark, sf)))
+    return linked.select("arxiv_id", "position", "repo_id", "full_name", "owner", *(f"{m}_total" for m in METRICS))
 
 
 @query(

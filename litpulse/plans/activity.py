@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litpulse.functions.dates import ISO_DATE_PREFIX, iso_date
@@ -206,6 +206,15 @@ def paper_linked_repos(bridge: DataFrame, totals: DataFrame, repos: DataFrame) -
     )
 
 
+def ordered_repos(linked: DataFrame) -> DataFrame:
+    """The complete list of each paper's repositories as rows, with ``position`` from 1.
+
+    Rows are sorted, not collected, so a paper with very many repositories only spills.
+    """
+    order = Window.partitionBy("arxiv_id").orderBy(F.col("star_total").desc(), F.col("repo_id").asc())
+    return linked.withColumn("position", F.row_number().over(order))
+
+
 def _inline_repos(linked: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` repositories per paper as an ordered array."""
     fields = ["repo_id", "full_name", "owner", *(f"{m}_total" for m in METRICS)]

@@ -264,3 +264,14 @@ def test_cards(rows):
     row = reader.card_repos(df, shown=1).first()
     assert (row.n_repos, row.shown, row.n_more) == (2, ["o/a"], 1)
     assert reader.find_paper(df, "2").count() == 0 and reader.find_paper(df, "1").count() == 1
+
+
+def test_ordered_repos_are_complete(spark):
+    """A paper with more repositories than the preview holds keeps all, in order."""
+    from litpulse.plans import activity
+
+    n = 2 * activity.INLINE_REPOS + 7
+    linked = spark.range(n).selectExpr("'p' AS arxiv_id", "id AS repo_id", "pmod(id * 7919, 101) AS star_total")
+    got = [(r.position, r.star_total, r.repo_id) for r in activity.ordered_repos(linked).orderBy("position").collect()]
+    assert [g[0] for g in got] == list(range(1, n + 1))
+    assert [(-s, i) for _, s, i in got] == sorted((-(k * 7919 % 101), k) for k in range(n))
