@@ -183,28 +183,27 @@ def _(spark, sf):
     with_(EVENTS, EDGES, REPO_ACTIVITY, PAPER_ACTIVITY)
     + "SELECT arxiv_id, "
     + ", ".join(
-        f"MAX(CASE WHEN metric = '{m}' THEN total END) AS {m}" for m in METRICS
+        f"COALESCE(MAX(CASE WHEN metric = '{m}' THEN {w} END), 0) AS {w}_{m}"
+        for w in WINDOW_NAMES
+        if not w.startswith("year_") or w == "year_ytd"
+        for m in METRICS
     )
     + " FROM pa GROUP BY arxiv_id",
 )
 def _(spark, sf):
-    from litpulse.operators.topk import pivot_metrics
-
-    return pivot_metrics(_paper_activity(spark, sf), ["arxiv_id"], "total", METRICS)
+    return activity.paper_activity_wide(_paper_activity(spark, sf))
 
 
 @query(
     "recent_paper_totals",
     with_(EVENTS, EDGES, PAPERS, REPO_ACTIVITY, D14)
-    + "SELECT arxiv_id, metric, value FROM d14 WHERE metric IS NOT NULL",
+    + "SELECT arxiv_id, "
+    + ", ".join(f"COALESCE(MAX(CASE WHEN metric = '{m}' THEN value END), 0) AS {m}" for m in METRICS)
+    + " FROM d14 GROUP BY arxiv_id",
 )
 def _(spark, sf):
     recent = activity.recent_papers(papers(spark, sf), SNAP)
-    return (
-        _paper_activity(spark, sf)
-        .join(recent, "arxiv_id", "left_semi")
-        .select("arxiv_id", "metric", F.col("total").alias("value"))
-    )
+    return activity.recent_totals(_paper_activity(spark, sf), edges(spark, sf), recent)
 
 
 @query(

@@ -37,26 +37,26 @@ def check_key(df: DataFrame, keys: Sequence[str], name: str = "primary_key") ->
     )
 
 
-def ranking_violations(ranking: DataFrame) -> DataFrame:
+def ranking_violations(ranking: DataFrame, k: int = MAX_RANK) -> DataFrame:
     """The constraints of the activity ranking table."""
     rows = check_rows(
         ranking,
         {
             "window_name": F.col("window_name").rlike(WINDOW_NAME),
             "metric": F.col("metric").isin(*METRICS),
-            "rank_range": F.col("rank").between(1, MAX_RANK),
+            "rank_range": F.col("rank").between(1, k),
             "not_null": F.col("arxiv_id").isNotNull() & F.col("rank").isNotNull(),
         },
     )
     return rows.unionByName(check_key(ranking, ["snapshot_date", "window_name", "metric", "rank"]))
 
 
-def citation_violations(ranking: DataFrame) -> DataFrame:
+def citation_violations(ranking: DataFrame, k: int = MAX_RANK) -> DataFrame:
     """The constraints of the citation ranking table."""
     rows = check_rows(
         ranking,
         {
-            "rank_range": F.col("rank").between(1, MAX_RANK),
+            "rank_range": F.col("rank").between(1, k),
             "cited_not_null": F.col("cited_by_count").isNotNull(),
         },
     )
@@ -93,7 +93,7 @@ def missing_details(ranking: DataFrame, details: DataFrame) -> DataFrame:
     )
 
 
-def citation_report(ranking: DataFrame, details: DataFrame, status: Column) -> DataFrame:
+def citation_report(ranking: DataFrame, details: DataFrame, status: Column, k: int = MAX_RANK) -> DataFrame:
     """One row: counts, windows, highest rank, bad windows, missing details, and the verdict."""
     parts = [
         ranking.agg(
@@ -102,13 +102,13 @@ def citation_report(ranking: DataFrame, details: DataFrame, status: Column) -> D
             F.coalesce(F.max("rank"), F.lit(0)).alias("max_rank"),
         ),
         details.agg(F.count("*").alias("n_details")),
-        bad_rank_windows(ranking).agg(F.count("*").alias("n_bad_windows")),
+        bad_rank_windows(ranking, k).agg(F.count("*").alias("n_bad_windows")),
         missing_details(ranking, details).agg(F.count("*").alias("n_missing_details")),
     ]
     row = side_by_side(parts)
     passed = (
         (F.col("n_ranking") > 0)
-        & (F.col("max_rank") <= MAX_RANK)
+        & (F.col("max_rank") <= k)
         & (F.col("n_bad_windows") == 0)
         & (F.col("n_missing_details") == 0)
         & (status == "completed")
@@ -123,9 +123,9 @@ def require_rows(**tables: DataFrame) -> None:
         raise ValueError(f"no rows in {', '.join(empty)}")
 
 
-def require_contiguous(ranking: DataFrame) -> None:
-    """Fail when a window's ranks do not run from 1 to its row count."""
-    bad = bad_rank_windows(ranking).count()
+def require_contiguous(ranking: DataFrame, k: int = MAX_RANK) -> None:
+    """Fail when a window's ranks do not run from 1 to its row count, or go beyond ``k``."""
+    bad = bad_rank_windows(ranking, k).count()
     if bad:
         raise ValueError(f"ranks have gaps in {bad} windows")
 

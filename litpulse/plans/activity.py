@@ -101,6 +101,30 @@ def paper_activity(edges: DataFrame, activity: DataFrame) -> DataFrame:
     )
 
 
+def paper_activity_wide(by_paper: DataFrame) -> DataFrame:
+    """One row per paper: a column ``window_metric`` for every window but the yearly ones; absent is zero."""
+    windows = [*ROLLING_DAYS, "year_ytd", "total"]
+    return by_paper.groupBy("arxiv_id").agg(
+        *(
+            F.coalesce(F.max(F.when(F.col("metric") == m, F.col(w))), F.lit(0)).alias(f"{w}_{m}")
+            for w in windows
+            for m in METRICS
+        )
+    )
+
+
+def recent_totals(by_paper: DataFrame, edges: DataFrame, recent: DataFrame) -> DataFrame:
+    """One row per recent paper that has a repository, with its total per metric.
+
+    A paper whose repositories show no activity keeps a row of zeros.
+    """
+    linked = edges.select("arxiv_id").join(recent.select("arxiv_id"), "arxiv_id", "left_semi").distinct()
+    totals = pivot_metrics(by_paper.select("arxiv_id", "metric", "total"), ["arxiv_id"], "total", METRICS)
+    return linked.join(totals, "arxiv_id", "left").select(
+        "arxiv_id", *(F.coalesce(m, F.lit(0)).alias(m) for m in METRICS)
+    )
+
+
 def recent_papers(papers: DataFrame, snap: dt.date, days: int = RECENT_DAYS) -> DataFrame:
     """Ids of papers published in the last ``days`` days, the snapshot day included.
 

@@ -15,6 +15,7 @@ from litpulse.operators.quality import (
     row_counts,
 )
 from litpulse.plans import activity, citations
+from litpulse.session import materialise
 from litpulse.sources.sinks import export_ranking, overwrite_snapshot, replace_version
 
 
@@ -30,43 +31,40 @@ def build_activity_snapshot(
 ) -> DataFrame:
     """Write ranking, bridge, paper and repository details below ``out``; return their row counts.
 
-    Each table is written once and read back by the next step, so nothing is
-    computed twice and a lost executor costs no more than the running step.
+    Each table is built once in the shared scratch folder and read back by the next
+    step, so nothing is computed twice and a lost executor costs no more than the
+    running step. Only when all of them have passed the checks are they published: a run
+    that fails leaves the tables of the last good one as they were.
     """
     spark = events.sparkSession
     bound = activity.rank_bound(snap, k, first_year)
-
-    def stored(name: str) -> DataFrame:
-        return spark.read.parquet(f"{out}/{name}")
-
-    per_repo = activity.repo_activity(events, snap, first_year)
-    overwrite_snapshot(per_repo, f"{out}/repo_activity")
-    per_repo = stored("repo_activity")
+    per_repo = materialise(activity.repo_activity(events, snap, first_year), "repo_activity")
+    require_rows(repo_activity=per_repo)
     by_paper = activity.paper_activity(edges, per_repo)
-    export_ranking(
-        activity.titled_ranking(
-            activity.ranked_papers(by_paper, activity.recent_papers(papers, snap), k), papers, snap, bound
+    ranked = activity.ranked_papers(by_paper, activity.recent_papers(papers, snap), k)
+    ranking = materialise(activity.titled_ranking(ranked, papers, snap, bound), "ranking")
+    require_rows(ranking=ranking)
+    bridge = materialise(activity.ranking_bridge(edges, ranking, snap, bound), "bridge")
+    totals = activity.repo_totals(per_repo)
+    linked = materialise(activity.paper_linked_repos(bridge, totals, repos), "paper_linked_repos")
+    built = {
+        "repo_activity": per_repo,
+        "bridge": bridge,
+        "paper_linked_repos": linked,
+        "paper_details": materialise(
+            activity.paper_details(ranking, linked, papers, snap, bound), "paper_details"
+        ),
+        "repo_details": materialise(
+            activity.repo_details(bridge, totals, repos, papers, snap, bound), "repo_details"
         ),
-        f"{out}/ranking",
-    )
-    ranking = stored("ranking")
-    if ranking.isEmpty():
-        # Name the earliest table without rows.
-        require_rows(repo_activity=per_repo)
-        require_rows(paper_activity=by_paper)
-        require_rows(ranking=ranking)
-    overwrite_snapshot(activity.ranking_bridge(edges, ranking, snap, bound), f"{out}/bridge")
-    bridge, totals = stored("bridge"), activity.repo_totals(per_repo)
-    overwrite_snapshot(activity.paper_linked_repos(bridge, totals, repos), f"{out}/paper_linked_repos")
-    overwrite_snapshot(
-        activity.paper_details(ranking, stored("paper_linked_repos"), papers, snap, bound),
-        f"{out}/paper_details",
-    )
-    overwrite_snapshot(
-        activity.repo_details(bridge, totals, repos, papers, snap, bound), f"{out}/repo_details"
-    )
+    }
+    require_rows(**built)
+    for name, df in built.items():
+        overwrite_snapshot(df, f"{out}/{name}")
+    # The ranking goes last: whoever reads it finds the tables it refers to.
+    export_ranking(ranking, f"{out}/ranking")
     tables = ("ranking", "bridge", "paper_details", "repo_details")
-    return row_counts({t: stored(t) for t in tables})
+    return row_counts({t: spark.read.parquet(f"{out}/{t}") for t in tables})
 
 
 def build_citation_version(
@@ -76,10 +74,13 @@ def build_citation_version(
     today: dt.date,
     out: str,
     k: int = citations.TOP_K,
+    status: str = "completed",
 ) -> DataFrame:
     """Write ranking and details of one version below ``out``; return the check report.
 
-    Other versions stay as they are; a rerun replaces its own version.
+    Other versions stay as they are; a rerun replaces its own version. Both tables are
+    checked before either is published: a version without rows or with gaps raises, and
+    what was published before stays. ``status`` is the state the task ledger holds.
     """
     require_past(as_of, today)
     spark = works.sparkSession
@@ -87,12 +88,11 @@ def build_citation_version(
     def stored(name: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{name}").where(F.col("as_of_date") == F.lit(as_of))
 
-    replace_version(citations.citation_ranking(works, papers, as_of, k), f"{out}/citation_ranking", "as_of_date")
-    ranking = stored("citation_ranking")
-    replace_version(
-        citations.citation_details(ranking, works, papers, as_of, k), f"{out}/citation_details", "as_of_date"
-    )
-    details = stored("citation_details")
-    require_rows(ranking=ranking, details=details)
-    require_contiguous(ranking)
-    return citation_report(ranking, details, F.lit("completed"))
+    ranking = materialise(citations.citation_ranking(works, papers, as_of, k), "citation_ranking")
+    require_rows(ranking=ranking)
+    require_contiguous(ranking, k)
+    details = materialise(citations.citation_details(ranking, works, papers, as_of, k), "citation_details")
+    require_rows(details=details)
+    replace_version(details, f"{out}/citation_details", "as_of_date")
+    replace_version(ranking, f"{out}/citation_ranking", "as_of_date")
+    return citation_report(stored("citation_ranking"), stored("citation_details"), F.lit(status), k)

@@ -136,12 +136,37 @@ def test_snapshot_build(spark, world, tmp_path):
     assert repo.full_name == "o/1" and repo.star_total == totals[1, "star"]
 
 
-def test_empty_snapshot_is_rejected(world, tmp_path):
+def test_failed_snapshot_keeps_the_last_one(spark, world, tmp_path):
     frames = world[0]
+    tables = ("repo_activity", "ranking", "bridge", "paper_linked_repos", "paper_details", "repo_details")
+
+    def build(events, edges):
+        snapshots.build_activity_snapshot(events, edges, frames["papers"], frames["repos"], SNAP, str(tmp_path), k=5, first_year=FIRST)
+        return {t: spark.read.parquet(f"{tmp_path}/{t}").count() for t in tables}
+
     with pytest.raises(ValueError, match="repo_activity"):
-        snapshots.build_activity_snapshot(
-            frames["events"].limit(0), frames["edges"], frames["papers"], frames["repos"], SNAP, str(tmp_path)
-        )
+        build(frames["events"].limit(0), frames["edges"])
+    assert not any(tmp_path.iterdir())
+    good = build(frames["events"], frames["edges"])
+    for events, edges, name in ((frames["events"].limit(0), frames["edges"], "repo_activity"), (frames["events"], frames["edges"].limit(0), "ranking")):
+        with pytest.raises(ValueError, match=name):
+            build(events, edges)
+        assert {t: spark.read.parquet(f"{tmp_path}/{t}").count() for t in tables} == good
+    # A rerun with fewer rows replaces every table.
+    fewer = build(frames["events"], frames["edges"].where("repo_id = 1"))
+    assert all(fewer[t] < good[t] for t in ("bridge", "paper_linked_repos", "repo_details"))
+
+
+def test_papers_without_activity_keep_zeros(rows, world):
+    edges = rows([(1, "a", True, SNAP), (2, "b", True, SNAP), (3, "c", True, SNAP)], EDGES)
+    events = rows([(1, "star", SNAP, 4), (3, "pr", SNAP, 1)], EVENT_COLS)
+    by_paper = activity.paper_activity(edges, activity.repo_activity(events, SNAP, FIRST))
+    recent = rows([("a",), ("b",), ("unlinked",)], "arxiv_id string")
+    got = {r.arxiv_id: (r.star, r.fork, r.issue, r.pr) for r in activity.recent_totals(by_paper, edges, recent).collect()}
+    assert got == {"a": (4, 0, 0, 0), "b": (0, 0, 0, 0)}
+    wide = {r.arxiv_id: r for r in activity.paper_activity_wide(by_paper).collect()}
+    assert set(wide) == {"a", "c"} and len(wide["a"]) == 25
+    assert (wide["a"].rolling_7d_star, wide["a"].total_pr, wide["c"].year_ytd_pr, wide["c"].total_star) == (4, 0, 1, 0)
 
 
 # Citations.
@@ -226,6 +251,14 @@ def test_citation_version(spark, cited, tmp_path):
     assert {r[0] for r in ranking.select(F.to_date("as_of_date")).distinct().collect()} == {early, AS_OF}
     with pytest.raises(ValueError, match="future"):
         snapshots.build_citation_version(w, p, AS_OF, early, str(tmp_path))
+    # A rerun without candidates raises and leaves what was published; one with fewer rows replaces its version.
+    before = ranking.groupBy("as_of_date").count().collect()
+    with pytest.raises(ValueError, match="ranking"):
+        snapshots.build_citation_version(w.limit(0), p, AS_OF, AS_OF, str(tmp_path))
+    again = spark.read.parquet(f"{tmp_path}/citation_ranking")
+    assert sorted(again.groupBy("as_of_date").count().collect()) == sorted(before)
+    report = snapshots.build_citation_version(w, p, AS_OF, AS_OF, str(tmp_path), k=3, status="running").first()
+    assert report.max_rank == 3 and report.n_bad_windows == 0 and not report.passed
 
 
 # Reader.
