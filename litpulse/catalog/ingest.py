@@ -98,11 +98,11 @@ def _(spark, sf):
 
 @query(
     "resumption_tokens",
-    """SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 2 = 0 THEN 't' || o_orderkey END AS next_token
-    FROM orders WHERE o_orderkey % 17 <> 3""",
+    """SELECT o_orderkey AS page_id,
+      CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 17 <> 3 THEN 't' || o_orderkey END AS next_token FROM orders""",
 )
 def _(spark, sf):
-    return payloads.page_records(paper_pages(spark, sf), "value", "page_id").select("page_id", "next_token")
+    return payloads.page_tokens(paper_pages(spark, sf), "value", "page_id")
 
 
 @query(
@@ -182,13 +182,16 @@ def _(spark, sf):
 @query(
     "search_coverage",
     f"""WITH item AS (SELECT p_partkey // 100 AS page_id, p_partkey FROM part
-        WHERE (p_partkey // 100) % 2 = 0 OR p_partkey % 100 <> 99)
-    SELECT page_id, COUNT(*) AS n_items,
-      CASE WHEN COUNT(*) >= 100 THEN strftime(TIMESTAMP '{SNAP} 00:00:00' + to_seconds(MAX(p_partkey) + 1), '%Y-%m-%d %H:%M:%S') END AS next_cursor,
-      COUNT(*) < 100 AS hour_finished FROM item GROUP BY page_id""",
+        WHERE (p_partkey // 100) % 2 = 0 OR p_partkey % 100 <> 99),
+    page AS (SELECT page_id, COUNT(*) AS n, MAX(p_partkey) + 1 AS following, page_id % 7 = 5 AS bad,
+        COUNT(*) >= 100 AND MAX(p_partkey) + 1 < 1500 AS more FROM item GROUP BY page_id)
+    SELECT page_id, CASE WHEN bad THEN 0 ELSE n END AS n_items,
+      CASE WHEN more AND NOT bad THEN strftime(TIMESTAMP '{SNAP} 00:00:00' + to_seconds(following), '%Y-%m-%d %H:%M:%S') END AS next_cursor,
+      NOT more AND NOT bad AS hour_finished, CASE WHEN bad THEN 'broken page' END AS error FROM page""",
 )
 def _(spark, sf):
-    # Pages of at most 100 items, as the source sends them; every other page is one short.
+    # Pages of at most 100 items, as the source sends them; every other page is one short, some are
+    # cut off in transit, and the range searched ends after 1500 seconds.
     key = F.col("p_partkey")
     at = F.timestamp_seconds(F.unix_timestamp(F.lit(f"{SNAP} 00:00:00").cast("timestamp")) + key)
     item = F.struct(
@@ -201,7 +204,10 @@ def _(spark, sf):
         .groupBy(F.expr("p_partkey div 100").alias("page_id"))
         .agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("items"))).alias("value"))
     )
-    rows = payloads.search_coverage(pages, "value", "page_id")
+    cut = F.expr("substring(value, 1, length(value) - 5)")
+    pages = pages.withColumn("value", F.when(F.col("page_id") % 7 == 5, cut).otherwise(F.col("value")))
+    end = F.lit(f"{SNAP} 00:25:00").cast("timestamp")
+    rows = payloads.search_coverage(pages, "value", "page_id", hour_end=end)
     return rows.withColumn("next_cursor", F.date_format("next_cursor", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -259,12 +265,13 @@ def _(spark, sf):
 
 @query(
     "star_page_coverage",
-    """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber AS page_no, l_linenumber % 3 <> 0 AS complete,
-      CASE WHEN l_linenumber % 3 = 0 AND l_linenumber <> 6 THEN l_linenumber + 1 END AS next_page,
-      CASE WHEN l_linenumber = 6 THEN 'page limit' END AS error FROM lineitem""",
+    """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber AS page_no, l_linenumber % 3 <> 0 AND l_orderkey % 11 > 1 AS complete,
+      CASE WHEN l_linenumber % 3 = 0 AND l_linenumber <> 6 AND l_orderkey % 11 > 1 THEN l_linenumber + 1 END AS next_page,
+      CASE WHEN l_orderkey % 11 = 0 THEN 'null page' WHEN l_orderkey % 11 = 1 THEN 'broken page'
+           WHEN l_linenumber = 6 THEN 'page limit' END AS error FROM lineitem""",
 )
 def _(spark, sf):
-    # Thirty weeks on every third line; line 6 stands for page 100.
+    # Thirty weeks on every third line; line 6 stands for page 100; some orders have null or broken pages.
     start = F.unix_timestamp(F.to_date("l_shipdate").cast("timestamp"))
     n = F.when(F.col("l_linenumber") % 3 == 0, 30).otherwise(29)
     weeks = F.transform(
@@ -274,7 +281,8 @@ def _(spark, sf):
     pages = lines.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.to_date("l_shipdate").alias("scan_start"),
         F.when(F.col("l_linenumber") == 6, 100).otherwise(F.col("l_linenumber")).alias("page_no"),
-        F.to_json(weeks).alias("payload"),
+        F.when(F.col("l_orderkey") % 11 == 0, F.lit("null")).when(F.col("l_orderkey") % 11 == 1, F.lit("<html>"))
+        .otherwise(F.to_json(weeks)).alias("payload"),
     )
     rows = payloads.star_coverage(pages, "payload", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     return rows.drop("page_no").withColumnRenamed("l_linenumber", "page_no")
@@ -317,14 +325,20 @@ def _(spark, sf):
 
 @query(
     "connection_page_coverage",
-    """WITH m AS (SELECT *, o_orderkey % 2 = 0 AND o_orderkey % 5 <> 0
+    """WITH m AS (SELECT *, o_orderkey % 13 <= 1 AS bad, o_orderkey % 2 = 0 AND o_orderkey % 5 <> 0
         AND CAST(o_orderdate AS DATE) > DATE '1996-01-01' AS more FROM orders)
-    SELECT o_orderkey AS page_id, CAST(1 AS BIGINT) AS page_no, NOT more AS complete,
-      CASE WHEN more AND o_orderkey % 3 <> 0 THEN CAST(2 AS BIGINT) END AS next_page,
-      CASE WHEN more AND o_orderkey % 3 = 0 THEN 'missing cursor' END AS error FROM m""",
+    SELECT o_orderkey AS page_id, CAST(1 AS BIGINT) AS page_no, NOT more AND NOT bad AS complete,
+      CASE WHEN more AND NOT bad AND o_orderkey % 3 <> 0 THEN CAST(2 AS BIGINT) END AS next_page,
+      CASE WHEN o_orderkey % 13 = 0 THEN 'null page' WHEN bad THEN 'broken page'
+           WHEN more AND o_orderkey % 3 = 0 THEN 'missing cursor' END AS error FROM m""",
 )
 def _(spark, sf):
-    return payloads.connection_coverage(connection_pages(spark, sf), "payload", "page_id")
+    # Some connections are absent, some are cut off in transit.
+    cut = F.expr("substring(payload, 1, length(payload) - 3)")
+    key = F.col("page_id")
+    page = F.when(key % 13 == 0, F.lit(None)).when(key % 13 == 1, cut).otherwise(F.col("payload"))
+    pages = connection_pages(spark, sf).withColumn("payload", page)
+    return payloads.connection_coverage(pages, "payload", "page_id")
 
 
 # Tables.

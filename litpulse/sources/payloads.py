@@ -55,8 +55,15 @@ def page_has_records(page: Column) -> Column:
     )
 
 
+def page_tokens(pages: DataFrame, value: str, *keep: str) -> DataFrame:
+    """One row per page: ``next_token``, null on the last page and on an empty answer."""
+    parsed = pages.select(*keep, parse_xml(F.col(value), PAPER_PAGE).alias("p"))
+    token = blank_to_null(F.col("p.ListRecords.resumptionToken"))
+    return parsed.select(*keep, F.when(page_has_records(F.col("p")), token).alias("next_token"))
+
+
 def page_records(pages: DataFrame, value: str, *keep: str) -> DataFrame:
-    """One row per record of each page, plus the page's resumption token.
+    """One row per record of each page.
 
     The page check sits inside the outer explode: as a filter of its own, like
     the one an inner explode implies, it would be pushed below the parse and have
@@ -66,7 +73,6 @@ def page_records(pages: DataFrame, value: str, *keep: str) -> DataFrame:
     records = F.coalesce("p.ListRecords.record", "p.GetRecord.record")
     return parsed.select(
         *keep,
-        blank_to_null(F.col("p.ListRecords.resumptionToken")).alias("next_token"),
         F.explode_outer(F.when(page_has_records(F.col("p")), records)).alias("record"),
     ).where(F.col("record").isNotNull())
 
@@ -246,23 +252,36 @@ def repos_with_readme(repos: DataFrame, readmes: DataFrame) -> DataFrame:
     return repos.join(readmes.select("full_name", "readme"), "full_name", "left")
 
 
-def search_coverage(pages: DataFrame, value: str, *keep: str) -> DataFrame:
+def page_fault(payload: Column) -> Column:
+    """Why a landed JSON page cannot be used: ``null page`` or ``broken page``; null when it can.
+
+    Such a page holds no rows, so the coverage audits must not take it for a last page.
+    """
+    whole = F.json_object_keys(payload).isNotNull() | F.json_array_length(payload).isNotNull()
+    absent = payload.isNull() | (strip(payload) == "null")
+    return F.when(absent, F.lit("null page")).when(~whole, F.lit("broken page"))
+
+
+def search_coverage(pages: DataFrame, value: str, *keep: str, hour_end: Column | None = None) -> DataFrame:
     """Per search page: whether the hour is finished, else the cursor to go on from.
 
-    A full page continues one second after its last item; a short page, or a last
-    item without a usable time, ends the hour.
+    A full page continues one second after its last item; a short page, a last item
+    without a usable time, or a cursor that reaches ``hour_end`` ends the hour. A page
+    that is null or broken is an ``error`` and ends nothing.
     """
     items = F.from_json(value, SEARCH_PAGE)["items"]
-    parsed = pages.select(*keep, items.alias("items"))
+    end = F.lit(None).cast("timestamp") if hour_end is None else hour_end
+    parsed = pages.select(*keep, items.alias("items"), page_fault(F.col(value)).alias("error"), end.alias("__end"))
     last = F.try_to_timestamp(F.try_element_at("items", F.lit(-1))["created_at"])
-    following = F.when(
-        F.size("items") >= SEARCH_PAGE_SIZE, F.timestamp_seconds(F.unix_timestamp(last) + 1)
-    )
+    following = F.timestamp_seconds(F.unix_timestamp(last) + 1)
+    inside = F.coalesce(following < F.col("__end"), F.lit(True))
+    following = F.when((F.size("items") >= SEARCH_PAGE_SIZE) & inside, following)
     return parsed.select(
         *keep,
         F.coalesce(F.greatest(F.size("items"), F.lit(0)), F.lit(0)).alias("n_items"),
         following.alias("next_cursor"),
-        following.isNull().alias("hour_finished"),
+        (following.isNull() & F.col("error").isNull()).alias("hour_finished"),
+        "error",
     )
 
 
@@ -341,9 +360,13 @@ def connection_page_summary(pages: DataFrame, payload: str, *keep: str) -> DataF
 
 
 def star_coverage(pages: DataFrame, payload: str, *keep: str) -> DataFrame:
-    """Per star page (``page_no``): complete, next page, or page-limit failure."""
+    """Per star page (``page_no``): complete, next page, or failure.
+
+    Too many pages fail, and so does a page that is null or broken.
+    """
     weeks = star_week_array(F.col(payload))
-    parsed = pages.select(*keep, "scan_start", "page_no", weeks.alias("weeks"))
+    fault = page_fault(F.col(payload)).alias("__fault")
+    parsed = pages.select(*keep, "scan_start", "page_no", weeks.alias("weeks"), fault)
     starts = F.transform(
         F.filter("weeks", lambda w: w["week"].isNotNull()), lambda w: epoch_date(w["week"])
     )
@@ -354,8 +377,12 @@ def star_coverage(pages: DataFrame, payload: str, *keep: str) -> DataFrame:
 
 
 def connection_coverage(pages: DataFrame, payload: str, *keep: str) -> DataFrame:
-    """Per connection page: complete, next page, or failure for a missing cursor or too many pages."""
-    summary = connection_page_summary(pages, payload, *keep, "scan_start", "page_no")
+    """Per connection page: complete, next page, or failure.
+
+    A missing cursor, too many pages, and a page that is null or broken fail.
+    """
+    flagged = pages.withColumn("__fault", page_fault(F.col(payload)))
+    summary = connection_page_summary(flagged, payload, *keep, "scan_start", "page_no", "__fault")
     more = F.coalesce(F.col("has_next") & (F.col("oldest") > F.col("scan_start")), F.lit(False))
     lost = F.when(F.col("end_cursor").isNull() | (F.col("end_cursor") == ""), "missing cursor")
     return _coverage(summary.withColumn("__more", more), lost, *keep)
@@ -363,13 +390,12 @@ def connection_coverage(pages: DataFrame, payload: str, *keep: str) -> DataFrame
 
 def _coverage(df: DataFrame, error: Column, *keep: str) -> DataFrame:
     more = F.col("__more")
-    fault = F.when(
-        more, F.coalesce(error, F.when(F.col("page_no") >= MAX_PAGES, F.lit("page limit")))
-    )
+    limit = F.when(F.col("page_no") >= MAX_PAGES, F.lit("page limit"))
+    fault = F.coalesce(F.col("__fault"), F.when(more, F.coalesce(error, limit)))
     return df.select(
         *keep,
         "page_no",
-        (~more).alias("complete"),
+        (~more & F.col("__fault").isNull()).alias("complete"),
         F.when(more & fault.isNull(), F.col("page_no") + 1).alias("next_page"),
         fault.alias("error"),
     )

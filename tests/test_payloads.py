@@ -51,6 +51,23 @@ def test_outcomes(parse):
     assert dates == {"2023-10-02T00:11:47+00:00"}
 
 
+def test_page_tokens(rows):
+    """One token per page, however many records it has."""
+    pages = [(1, page(record(), record(), token="more")), (2, page(token="later")), (3, page(record())), (4, page(error='<error code="noRecordsMatch">none</error>'))]
+    got = payloads.page_tokens(rows(pages, "n int, value string"), "value", "n").collect()
+    assert {r.n: r.next_token for r in got} == {1: "more", 2: "later", 3: None, 4: None} and len(got) == 4
+
+
+@pytest.mark.parametrize("payload, error", [(None, "null page"), (" null ", "null page"), ("", "broken page"), ("<html>", "broken page"), ('{"items":[{"id":1', "broken page"), ("[{", "broken page"), ("[]", None), ("{}", None)])
+def test_unusable_pages_are_not_complete(rows, payload, error):
+    df = rows([(payload, D(2026, 1, 1), D(2026, 2, 1), 1, 1)], STARS)
+    for coverage in (payloads.star_coverage, payloads.connection_coverage):
+        row = coverage(df, "payload", "repo_id").first()
+        assert (row.complete, row.next_page, row.error) == (error is None, None, error)
+    row = payloads.search_coverage(df, "payload").first()
+    assert (row.n_items, row.next_cursor, row.hour_finished, row.error) == (0, None, error is None, error)
+
+
 def test_error_page_and_bad_xml_fail(parse):
     with pytest.raises(Exception, match="badArgument"):
         parse(page(error='<error code="badArgument">no</error>')).collect()
@@ -86,6 +103,11 @@ def test_search_items(rows):
     full = '{"items":[' + ",".join(['{"id":1,"created_at":"2026-10-01T00:00:09Z"}'] * 100) + "]}"
     cover = payloads.search_coverage(rows([(full,)], "value string"), "value").first()
     assert cover.next_cursor == dt.datetime(2026, 10, 1, 0, 0, 10) and not cover.hour_finished
+    # The cursor does not leave the hour.
+    for second, finished in ((10, True), (11, False)):
+        end = F.lit(f"2026-10-01 00:00:{second}").cast("timestamp")
+        cover = payloads.search_coverage(rows([(full,)], "value string"), "value", hour_end=end).first()
+        assert cover.hour_finished == finished and (cover.next_cursor is None) == finished
 
 
 WEEK = 1792281600  # 2026-10-18
