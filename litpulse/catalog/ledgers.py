@@ -13,6 +13,7 @@ from litpulse.catalog.registry import query
 from litpulse.operators import ledger, quality
 from litpulse.plans import queues
 from litpulse.sources.tables import side_by_side, tagged_union
+from litpulse.sources.tables import tagged_union
 
 DAY = dt.date(2001, 6, 1)
 TARGET = dt.date(2001, 9, 1)
@@ -220,30 +221,39 @@ def _(spark, sf):
     return ledger.fold_outcomes(tasks(spark, sf), outcomes).select("id", "try_number", "error_msg", "status")
 
 
-# A run ledger per customer; its orders are the run events, in order of their key.
+# A run per customer; its orders are the run events, in order of their key. Each kind of ledger has its rules.
+
+RUN_LEDGERS = {"pull": ledger.PULL_LOG, "rank": ledger.RANK_LOG, "citation": ledger.CITATION_TASKS}
 
 
 @query(
     "run_states",
-    """WITH last AS (SELECT c_custkey AS run, o.* FROM customer JOIN orders o ON o_custkey = c_custkey
-        QUALIFY ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY o_orderkey DESC) = 1),
-    started AS (SELECT o_custkey AS run, MAX(CAST(o_orderdate AS DATE)) AS at FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
-    SELECT c_custkey AS run,
-      CASE o_orderstatus WHEN 'O' THEN 'running' WHEN 'F' THEN 'failed' WHEN 'P' THEN 'completed' ELSE 'running' END AS status,
-      COALESCE(s.at, CASE WHEN c_custkey % 2 = 0 THEN DATE '1990-01-01' END,
-               CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) END) AS started_at,
-      CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderdate AS DATE) END AS completed_at,
-      CASE WHEN o_orderstatus = 'P' THEN o_orderkey END AS n_rows,
-      CASE WHEN o_orderstatus = 'F' THEN 'order ' || o_orderkey WHEN o_orderstatus IS NULL AND c_custkey % 2 = 0 THEN 'old' END AS error_message
-    FROM customer LEFT JOIN last ON last.run = c_custkey LEFT JOIN started s ON s.run = c_custkey
-    WHERE c_custkey % 2 = 0 OR last.run IS NOT NULL""",
+    """WITH rules(ledger, start_clears, failure_clears_end, failure_starts, inserts) AS (VALUES
+      ('pull', FALSE, FALSE, TRUE, TRUE), ('rank', FALSE, FALSE, FALSE, TRUE), ('citation', TRUE, TRUE, FALSE, FALSE)),
+    ev AS (SELECT o_custkey AS run, o_orderkey AS seq, CAST(o_orderdate AS DATE) AS day,
+      CASE o_orderstatus WHEN 'O' THEN 'running' WHEN 'F' THEN 'failed' ELSE 'completed' END AS status FROM orders),
+    f AS (SELECT ledger, run, arg_max(status, seq) AS status, MAX(seq) AS seq,
+        arg_max(day, seq) FILTER (WHERE status = 'running') AS began,
+        arg_min({'day': CASE WHEN status = 'failed' THEN day END}, seq) AS opening,
+        arg_max({'day': CASE WHEN status = 'completed' THEN day END}, seq) FILTER (WHERE status = 'completed'
+          OR (start_clears AND status = 'running') OR (failure_clears_end AND status = 'failed')) AS fin,
+        arg_max({'n': CASE WHEN status = 'completed' THEN seq END}, seq) FILTER (WHERE status = 'completed'
+          OR (start_clears AND status = 'running')) AS cnt
+      FROM ev, rules GROUP BY ledger, run)
+    SELECT r.ledger, c_custkey AS run, COALESCE(f.status, 'running') AS status,
+      COALESCE(f.began, CASE WHEN c_custkey % 2 = 0 THEN DATE '1990-01-01' WHEN r.failure_starts THEN f.opening.day END) AS started_at,
+      CASE WHEN f.fin IS NOT NULL THEN f.fin.day WHEN c_custkey % 2 = 0 THEN DATE '1991-01-01' END AS completed_at,
+      CASE WHEN f.cnt IS NOT NULL THEN f.cnt.n WHEN c_custkey % 2 = 0 THEN 7 END AS n_rows,
+      CASE WHEN f.status IS NULL THEN 'old' WHEN f.status = 'failed' THEN 'order ' || f.seq END AS error_message
+    FROM (SELECT * FROM customer, rules) r LEFT JOIN f ON f.run = c_custkey AND f.ledger = r.ledger
+    WHERE c_custkey % 2 = 0 OR (f.run IS NOT NULL AND r.inserts)""",
 )
 def _(spark, sf):
-    no_counts = F.lit(None).cast("map<string,bigint>")
+    counts = F.create_map(F.lit("ranking"), F.lit(7).cast("bigint"))
     stored = table(spark, sf, "customer").where("c_custkey % 2 = 0").select(
         F.col("c_custkey").alias("run"), F.lit("running").alias("status"),
-        F.lit("1990-01-01").cast("date").alias("started_at"), F.lit(None).cast("date").alias("completed_at"),
-        no_counts.alias("row_counts"), F.lit("old").alias("error_message"),
+        F.lit("1990-01-01").cast("date").alias("started_at"), F.lit("1991-01-01").cast("date").alias("completed_at"),
+        counts.alias("row_counts"), F.lit("old").alias("error_message"),
     )
     state = F.when(F.col("o_orderstatus") == "O", "running").when(F.col("o_orderstatus") == "F", "failed")
     run_events = table(spark, sf, "orders").select(
@@ -252,9 +262,9 @@ def _(spark, sf):
         F.create_map(F.lit("ranking"), F.col("o_orderkey")).alias("row_counts"),
         F.concat(F.lit("order "), as_id("o_orderkey")).alias("error"),
     )
-    rows = ledger.apply_run_events(stored, run_events, ["run"])
-    return rows.select(
-        "run", "status", "started_at", "completed_at",
+    folded = {name: ledger.apply_run_events(stored, run_events, ["run"], rules) for name, rules in RUN_LEDGERS.items()}
+    return tagged_union(folded, "ledger").select(
+        "ledger", "run", "status", "started_at", "completed_at",
         F.try_element_at("row_counts", F.lit("ranking")).alias("n_rows"), "error_message",
     )
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litpulse.functions.text import clip
-from litpulse.operators.merge import insert_missing, newest_per_key, replace_by_key
+from litpulse.operators.merge import insert_missing, replace_by_key
 from litpulse.schemas import METRICS
 
 MAX_TRIES = 3
@@ -141,36 +142,62 @@ def fold_outcomes(
     )
 
 
+@dataclass(frozen=True)
+class RunRules:
+    """How a run ledger treats what it holds already."""
+
+    #: A start clears end and counts of the run before.
+    start_clears: bool = False
+    #: A failure clears the end.
+    failure_clears_end: bool = False
+    #: A run first heard of by its failure starts at that time.
+    failure_starts: bool = False
+    #: Runs the ledger does not know are inserted.
+    inserts: bool = True
+    error_chars: int = ERROR_CHARS
+
+
+PULL_LOG = RunRules(failure_starts=True)
+RANK_LOG = RunRules()
+CITATION_TASKS = RunRules(
+    start_clears=True, failure_clears_end=True, inserts=False, error_chars=RANK_ERROR_CHARS
+)
+
+
 def apply_run_events(
-    ledger: DataFrame, events: DataFrame, keys: Sequence[str], error_chars: int = ERROR_CHARS
+    ledger: DataFrame, events: DataFrame, keys: Sequence[str], rules: RunRules = RANK_LOG
 ) -> DataFrame:
-    """Run ledger after a batch of ``(keys, seq, status, at, row_counts, error)``; the last one wins.
+    """Run ledger after a batch of ``(keys, seq, status, at, row_counts, error)``, in the order of ``seq``.
 
-    ``running`` sets the start and clears end, error and counts; ``completed``
-    sets end and counts and clears the error; ``failed`` keeps the start and
-    stores the error text, cut. Unknown keys are inserted.
+    ``running`` sets the start and clears the error; ``completed`` sets end and counts
+    and clears the error; ``failed`` stores the error text, cut. The rest, which differs
+    between the ledgers, is in ``rules``; what no event touches stays.
     """
-    last = newest_per_key(events, list(keys), [F.col("seq").desc()]).select(
-        *keys, F.col("status").alias("__s"), F.col("at").alias("__at"),
-        F.col("row_counts").alias("__counts"), F.col("error").alias("__error"),
-    )
-    started = (
-        events.where("status = 'running'").groupBy(*keys).agg(F.max("at").alias("__start"))
+    s, seq = F.col("status"), F.col("seq")
+    begun, done, failed = (s == x for x in ("running", "completed", "failed"))
+    counted = done | begun if rules.start_clears else done
+    ended = counted | failed if rules.failure_clears_end else counted
+    # One aggregate: the last event that touches a column gives its value, which may be null.
+    folded = events.groupBy(*keys).agg(
+        F.max_by(s, seq).alias("__status"),
+        F.max_by(F.when(failed, clip(F.col("error"), rules.error_chars)), seq).alias("__error"),
+        F.max_by(F.col("at"), F.when(begun, seq)).alias("__start"),
+        F.min_by(F.when(failed, F.col("at")), seq).alias("__failed_first"),
+        F.coalesce(F.bool_or(ended), F.lit(False)).alias("__ended"),
+        F.max_by(F.when(done, F.col("at")), F.when(ended, seq)).alias("__end"),
+        F.coalesce(F.bool_or(counted), F.lit(False)).alias("__counted"),
+        F.max_by(F.when(done, F.col("row_counts")), F.when(counted, seq)).alias("__counts"),
     )
-    s = F.col("__s")
-    changed = s.isNotNull()
-    return (
-        ledger.join(last.join(started, list(keys), "left"), list(keys), "full_outer")
-        .select(
-            *keys,
-            F.coalesce(s, "status").alias("status"),
-            F.coalesce("__start", "started_at", F.when(s == "failed", F.col("__at"))).alias("started_at"),
-            F.when(~changed, F.col("completed_at")).when(s == "completed", F.col("__at")).alias("completed_at"),
-            F.when(~changed, F.col("row_counts")).when(s == "completed", F.col("__counts")).alias("row_counts"),
-            F.when(~changed, F.col("error_message"))
-            .when(s == "failed", clip(F.col("__error"), error_chars))
-            .alias("error_message"),
-        )
+    start = [F.col("__start"), F.col("started_at")]
+    if rules.failure_starts:
+        start.append(F.when(s.isNull(), F.col("__failed_first")))
+    return ledger.join(folded, list(keys), "full_outer" if rules.inserts else "left").select(
+        *keys,
+        F.coalesce("__status", "status").alias("status"),
+        F.coalesce(*start).alias("started_at"),
+        F.when(F.col("__ended"), F.col("__end")).otherwise(F.col("completed_at")).alias("completed_at"),
+        F.when(F.col("__counted"), F.col("__counts")).otherwise(F.col("row_counts")).alias("row_counts"),
+        F.when(F.col("__status").isNull(), F.col("error_message")).otherwise(F.col("__error")).alias("error_message"),
     )
 
 

@@ -57,11 +57,6 @@ def top_k_few_groups(
     return top_k(high, groups, [F.col(value).desc(), *order], k)
 
 
-def first_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """The first k rows in order (a per-task top k, then a merge)."""
-    return df.orderBy(*order).limit(k)
-
-
 def unpivot_windows(df: DataFrame, keys: Sequence[str], windows: Mapping[str, str]) -> DataFrame:
     """Columns to rows: ``windows`` maps a window name to its column.
 

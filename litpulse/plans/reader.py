@@ -28,20 +28,19 @@ WINDOW_LABELS = {
 }
 ROLLING_LABEL, YEAR_LABEL, YTD_LABEL = "最近", "年", "年YTD"
 UNTITLED = "无标题"
-# Display order of the windows that are not years.
-WINDOW_ORDER = {
-    "d14": (0, ""),
-    "rolling_7d": (1, "1"),
-    "rolling_30d": (1, "2"),
-    "rolling_3m": (1, "3"),
-    "rolling_6m": (1, "4"),
-    "recent_3m": (1, "3"),
-    "recent_6m": (1, "4"),
-    "recent_12m": (1, "5"),
-    "year_ytd": (2, ""),
-    "total": (99, ""),
-}
-YEAR_GROUP, OTHER_GROUP = 3, 50
+# Windows shown ahead of the years, in order, and the one shown last.
+FIRST_WINDOWS = (
+    "d14",
+    "rolling_7d",
+    "rolling_30d",
+    "recent_3m",
+    "rolling_3m",
+    "recent_6m",
+    "rolling_6m",
+    "recent_12m",
+    "year_ytd",
+)
+LAST_WINDOW = "total"
 # Fields of a detail card, in order, with their labels.
 ACTIVITY_CARD = (
     ("published_date", "发布时间"),
@@ -81,18 +80,16 @@ def window_label(name: Column, snap_year: Column) -> Column:
 
 
 def window_order(name: Column) -> list[Column]:
-    """Sort columns: recent windows, year to date, years downwards, others, total."""
-    group = F.create_map(*(F.lit(x) for n, (g, _) in WINDOW_ORDER.items() for x in (n, g)))
-    within = F.create_map(*(F.lit(x) for n, (_, k) in WINDOW_ORDER.items() for x in (n, k)))
-    fixed = F.map_contains_key(group, name)
-    year = F.startswith(name, F.lit("year_"))
+    """Sort columns: the first windows, years downwards, others by name, the last one."""
+    place = F.array_position(F.array(*map(F.lit, FIRST_WINDOWS)), name)
+    listed = place > 0
+    year = F.startswith(name, F.lit("year_")) & ~listed
     return [
-        F.when(fixed, F.try_element_at(group, name))
-        .when(year, F.lit(YEAR_GROUP))
-        .otherwise(F.lit(OTHER_GROUP))
-        .asc(),
-        F.when(year & ~fixed, F.substr(name, F.lit(6))).desc_nulls_last(),
-        F.when(fixed, F.try_element_at(within, name)).when(~year, name).asc_nulls_first(),
+        (name == LAST_WINDOW).asc(),
+        listed.desc(),
+        place.asc(),
+        year.desc(),
+        F.when(year, F.substr(name, F.lit(6))).desc_nulls_last(),
         name.asc(),
     ]
 

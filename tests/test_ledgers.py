@@ -98,22 +98,45 @@ def test_pending_metrics(rows):
     assert [(r.metric, r.page, r.cursor) for r in got] == [("fork", 4, "c"), ("issue", 1, None), ("pr", 1, None)]
 
 
-def test_run_events(rows):
-    ddl = "job string, status string, started_at date, completed_at date, row_counts map<string,bigint>, error_message string"
-    batch_ddl = "job string, seq int, status string, at date, row_counts map<string,bigint>, error string"
-    stored = rows([("a", "failed", D(2026, 1, 1), None, None, "old"), ("b", "running", D(2026, 1, 1), None, None, None)], ddl)
-    batch = rows(
-        [
-            ("a", 1, "running", D(2026, 2, 1), None, None),
-            ("a", 2, "completed", D(2026, 2, 2), {"x": 5}, None),
-            ("c", 1, "failed", D(2026, 3, 1), None, "y" * 600),
-        ],
-        batch_ddl,
-    )
-    got = {r.job: r for r in ledger.apply_run_events(stored, batch, ["job"]).collect()}
-    assert tuple(got["a"])[1:] == ("completed", D(2026, 2, 1), D(2026, 2, 2), {"x": 5}, None)
-    assert got["b"].status == "running" and got["b"].started_at == D(2026, 1, 1)
-    assert got["c"].status == "failed" and len(got["c"].error_message) == 500
+RUNS = "job string, status string, started_at date, completed_at date, row_counts map<string,bigint>, error_message string"
+RUN_EVENTS = "job string, seq int, status string, at date, row_counts map<string,bigint>, error string"
+
+
+def runs(rows, rules, stored, *events):
+    got = ledger.apply_run_events(rows(stored, RUNS), rows(list(events), RUN_EVENTS), ["job"], rules).collect()
+    return {r.job: tuple(r)[1:] for r in got}
+
+
+@pytest.mark.parametrize("rules", [ledger.PULL_LOG, ledger.RANK_LOG, ledger.CITATION_TASKS])
+def test_run_events(rows, rules):
+    stored = [("a", "failed", D(2026, 1, 1), None, None, "old"), ("b", "running", D(2026, 1, 1), None, None, None)]
+    got = runs(
+        rows, rules, stored,
+        ("a", 1, "running", D(2026, 2, 1), None, None),
+        ("a", 2, "completed", D(2026, 2, 2), {"x": 5}, None),
+        ("c", 1, "failed", D(2026, 3, 1), None, "y" * 3000),
+    )
+    assert got["a"] == ("completed", D(2026, 2, 1), D(2026, 2, 2), {"x": 5}, None)
+    assert got["b"] == ("running", D(2026, 1, 1), None, None, None)
+    # The first says when an unknown run failed, the second does not, the third knows its tasks beforehand.
+    first = D(2026, 3, 1) if rules is ledger.PULL_LOG else None
+    assert got.get("c") == (None if rules is ledger.CITATION_TASKS else ("failed", first, None, None, "y" * 500))
+
+
+def test_run_events_keep_what_the_ledger_keeps(rows):
+    end, counts = D(2026, 1, 2), {"x": 1}
+    stored = [(j, "completed", D(2026, 1, 1), end, counts, None) for j in "ab"]
+    batch = [("a", 1, "running", D(2026, 2, 1), None, None), ("b", 1, "failed", D(2026, 2, 1), None, "y" * 3000)]
+    for rules in (ledger.PULL_LOG, ledger.RANK_LOG):
+        got = runs(rows, rules, stored, *batch)
+        assert got["a"] == ("running", D(2026, 2, 1), end, counts, None)
+        assert got["b"] == ("failed", D(2026, 1, 1), end, counts, "y" * 500)
+    got = runs(rows, ledger.CITATION_TASKS, stored, *batch)
+    assert got["a"] == ("running", D(2026, 2, 1), None, None, None)
+    assert got["b"] == ("failed", D(2026, 1, 1), None, counts, "y" * 2000)
+    # Within one batch: completed, then failed.
+    got = runs(rows, ledger.RANK_LOG, [], ("d", 1, "completed", end, counts, None), ("d", 2, "failed", D(2026, 2, 1), None, "e"))
+    assert got["d"] == ("failed", None, end, counts, "e")
 
 
 def test_baseline(rows):
