@@ -88,7 +88,8 @@ def page_by_offset(
 
     A plain offset makes one task sort ``skip + size`` rows. Here distributed
     counts per key slice narrow the range until at most ``small`` rows remain to
-    be skipped, so a deep page costs a few scans with pushed-down bounds.
+    be skipped, so a deep page costs a few scans with pushed-down bounds. Rows
+    without a key have no place in the order and are on no page.
     """
     lo, hi = df.agg(F.min(key), F.max(key)).first()
     if lo is None:
