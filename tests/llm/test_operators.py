@@ -409,6 +409,24 @@ def test_drop_repeated(llm):
     assert got == {1: (rows[0][1], 5), 2: (own[1], len(own[1])), 4: (own[2], 5), 5: ("few words", 5)}
 
 
+def test_threshold_grows_with_the_line(llm):
+    """One edit for every 40 characters of the shorter line: prose, long words, repeated words and lines about a length where it changes."""
+    rng = random.Random(14)
+    pool = [sentence(rng, rng.choice([16, 20, 40, 60])) for _ in range(8)] + ["".join(rng.choice("abcdef0123") for _ in range(n)) for n in (79, 120, 240)]
+    pool += ["the of " * 30, "a" * 161]
+    lines = sorted({changed(rng, x, rng.randrange(9)).strip() for x in pool for _ in range(6)} | {x.strip() for x in pool})
+    docs = llm.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id bigint, text string")
+    want, most = Counter(), 0
+    for i, a in enumerate(lines):
+        for j, b in enumerate(lines[:i]):
+            edits = max(1, min(len(a), len(b)) // 40)
+            if min(len(a), len(b)) >= linejoin.NEAR_CHARS and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+                want.update((i, j))
+                most = max(most, distance(a, b))
+    got = {r.doc_id: r.n_links for r in linejoin.line_classes(docs).collect()}
+    assert got == {k: want[k] for k in range(len(lines))} and most > 4
+
+
 def test_edit_distance_and_keys():
     rng = random.Random(13)
     for _ in range(2000):
