@@ -409,6 +409,14 @@ def test_drop_repeated(llm):
     assert got == {1: (rows[0][1], 5), 2: (own[1], len(own[1])), 4: (own[2], 5), 5: ("few words", 5)}
 
 
+def test_short_rests_and_first_occurrences_stay(llm):
+    rng = random.Random(15)
+    shared, twice = sentence(rng, 30), sentence(rng, 20)
+    rows = [(1, shared), (2, f"{shared}\n{twice}\nfew words of its own"), (3, twice), (4, f"{twice}\nmine alone")]
+    got = linejoin.drop_repeated(llm.createDataFrame([(k, t, "en", "a", 5) for k, t in rows], DOCS)).collect()
+    assert {r.doc_id: r.text for r in got} == {1: shared, 2: f"{twice}\nfew words of its own", 4: "mine alone"}
+
+
 def test_threshold_grows_with_the_line(llm):
     """One edit for every 40 characters of the shorter line: prose, long words, repeated words and lines about a length where it changes."""
     rng = random.Random(14)
