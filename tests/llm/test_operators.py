@@ -417,6 +417,12 @@ def test_short_rests_and_first_occurrences_stay(llm):
     assert {r.doc_id: r.text for r in got} == {1: shared, 2: f"{twice}\nfew words of its own", 4: "mine alone"}
 
 
+def test_short_lines_take_part(llm):
+    rows = [(1, "a\nyes\nfourteen chars\n \n"), (2, "a\nyet\nfourteen charz"), (3, "yes\n\nother")]
+    got = linejoin.line_classes(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, r.n_lines, r.n_removed, r.n_links) for r in got} == {(1, 3, 0, 1), (2, 3, 2, 1), (3, 2, 1, 0)}
+
+
 def test_threshold_grows_with_the_line(llm):
     """One edit for every 40 characters of the shorter line: prose, long words, repeated words and lines about a length where it changes."""
     rng = random.Random(14)
