@@ -24,7 +24,7 @@ FIRST_YEAR = 2008
 RECENT_DAYS = 14
 # Days each rolling window reaches back, the snapshot day included.
 ROLLING_DAYS = {"rolling_7d": 7, "rolling_30d": 30, "rolling_3m": 90, "rolling_6m": 180}
-# Length of the list kept inside a detail row; the whole list is a table of its own.
+# Length of a preview list, for callers that ask for one; detail rows hold the whole list.
 INLINE_REPOS = 1000
 
 
@@ -239,25 +239,27 @@ def ordered_repos(linked: DataFrame) -> DataFrame:
     return linked.withColumn("position", F.row_number().over(order))
 
 
-def _inline_repos(linked: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` repositories per paper as an ordered array."""
+def _inline_repos(linked: DataFrame, limit: int | None) -> DataFrame:
+    """The repositories per paper as an ordered array; with ``limit`` only the first ones."""
     fields = ["repo_id", "full_name", "owner", *(f"{m}_total" for m in METRICS)]
-    first = top_k(linked, ["arxiv_id"], [F.col("star_total").desc(), F.col("repo_id").asc()], limit)
-    packed = F.array_sort(F.collect_list(F.struct("rank", F.struct(*fields).alias("repo"))))
-    return first.groupBy("arxiv_id").agg(
+    if limit is not None:
+        linked = top_k(linked, ["arxiv_id"], [F.col("star_total").desc(), F.col("repo_id").asc()], limit)
+    entry = F.struct((-F.col("star_total")).alias("stars"), "repo_id", F.struct(*fields).alias("repo"))
+    packed = F.array_sort(F.collect_list(entry))
+    return linked.groupBy("arxiv_id").agg(
         F.transform(packed, lambda x: x["repo"]).alias("linked_repos")
     )
 
 
 def paper_details(
     ranking: DataFrame, linked: DataFrame, papers: DataFrame, snap: dt.date, bound: int,
-    inline: int = INLINE_REPOS,
+    inline: int | None = None,
 ) -> DataFrame:
     """One detail row per ranked paper.
 
-    Counts, maxima and sums cover all linked repositories. The array holds the
-    first ``inline`` in order, which bounds the row and the memory of the task
-    that builds it; ``paper_linked_repos`` is the whole list, for papers with more.
+    Counts, maxima, sums and the array cover all linked repositories, so a row is as
+    long as its paper's list; ``ordered_repos`` is that list as rows. With ``inline``
+    the array is a preview of the first ones.
     """
     sums = linked.groupBy("arxiv_id").agg(
         F.count("*").cast("int").alias("repo_count"),

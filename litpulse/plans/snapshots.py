@@ -46,7 +46,8 @@ def build_activity_snapshot(
     require_rows(ranking=ranking)
     bridge = materialise(activity.ranking_bridge(edges, ranking, snap, bound), "bridge")
     totals = activity.repo_totals(per_repo)
-    linked = materialise(activity.paper_linked_repos(bridge, totals, repos), "paper_linked_repos")
+    linked = activity.ordered_repos(activity.paper_linked_repos(bridge, totals, repos))
+    linked = materialise(linked, "paper_linked_repos")
     built = {
         "repo_activity": per_repo,
         "bridge": bridge,

@@ -308,3 +308,23 @@ def test_ordered_repos_are_complete(spark):
     got = [(r.position, r.star_total, r.repo_id) for r in activity.ordered_repos(linked).orderBy("position").collect()]
     assert [g[0] for g in got] == list(range(1, n + 1))
     assert [(-s, i) for _, s, i in got] == sorted((-(k * 7919 % 101), k) for k in range(n))
+
+
+def test_detail_rows_cards_and_json_hold_all_repos(spark):
+    """The array is whole for a paper with more than 2000 repositories, and a card counts all from the JSON form alone."""
+    from pyspark.sql import functions as F
+
+    from litpulse.plans import activity, reader
+
+    n = 2 * activity.INLINE_REPOS + 7
+    linked = spark.range(n).selectExpr(
+        "'p' AS arxiv_id", "id AS repo_id", "concat('o/', id) AS full_name", "'o' AS owner",
+        "pmod(id * 7919, 101) AS star_total", "0L AS fork_total", "0L AS issue_total", "0L AS pr_total",
+    )
+    texts = ("arxiv_id", "title", "abstract", "authors", "categories", "published_date", "datestamp")
+    papers = spark.createDataFrame([("p",) * 7], ", ".join(f"{c} string" for c in texts))
+    details = activity.paper_details(papers.select("arxiv_id"), linked, papers, SNAP, 10)
+    row = details.first()
+    assert [r.repo_id for r in row.linked_repos] == sorted(range(n), key=lambda k: (-(k * 7919 % 101), k))
+    card = reader.card_repos(details.select("arxiv_id", F.to_json("linked_repos").alias("linked_repos"))).first()
+    assert row.repo_count == card.n_repos == n and card.n_more == n - reader.CARD_REPOS
