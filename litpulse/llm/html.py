@@ -4,7 +4,8 @@ Markup is stripped to lines: a block element starts a new line, and what cannot
 article text (scripts, menus, forms, marked adverts and so on) leaves empty lines in its
 place. The lengths of a window of lines are summed at every line. A run of text begins where
 the sum surges over a threshold and ends where it dives to nothing; the text between
-surge and dive is kept, with the lines that adjoin the surge.
+surge and dive is kept, with the lines that adjoin the surge. A page that marks its article keeps
+all of the article's lines; the sums are for pages that do not.
 """
 
 from __future__ import annotations
@@ -191,15 +192,13 @@ def keep_between(lengths: list[int], window: int = WINDOW, share: float = SURGE_
 def main_text(page: str | None) -> str:
     """The article's blocks, one per line; empty where there is no text.
 
-    With an ``article`` or ``main`` element, lines outside of it count as empty. Without
-    one, a line that is mostly links counts as empty.
+    With an ``article`` or ``main`` element that has text, its lines are all kept, and no others.
+    Without one, a line that is mostly links counts as empty, and surge and dive decide.
     """
     lines = strip_markup(page or "")
-    if any(inside for _, inside, _ in lines):
-        lengths = [len(t) if inside else 0 for t, inside, _ in lines]
-    else:
-        lengths = [len(t) if 2 * links <= len(t) else 0 for t, _, links in lines]
-    kept = keep_between(lengths)
+    kept = [inside for _, inside, _ in lines]
+    if not any(kept):
+        kept = keep_between([len(t) if 2 * links <= len(t) else 0 for t, _, links in lines])
     return "\n".join(t for (t, _, _), keep in zip(lines, kept, strict=True) if keep)
 
 

@@ -478,6 +478,12 @@ def test_main_text(llm):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_article_lines_between_stripped_parts_stay():
+    advert, long = "<div class='share'>no</div>", "long text " * 80
+    page = f"<article><h1>Title</h1>{advert}<p>{long}</p><h2>Part</h2>{advert}<p>{long}</p>{advert}<p>End.</p></article><p>{long}"
+    assert html.main_text(page).split("\n") == ["Title", long.strip(), "Part", long.strip(), "End."]
+
+
 def test_surge_and_dive():
     assert html.window_sums([5, 0, 0, 0, 7, 3], 3) == [5, 0, 7, 10, 10, 3]
     assert html.keep_between([0, 0, 3, 200, 200, 0, 0, 0, 4, 0, 0, 0, 150]) == [k in (2, 3, 4, 12) for k in range(13)]
