@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 SAMPLE_DOCUMENTS = 12_000
 NEGATIVE_SHARE = 8
 WINDOW_TOKENS = 8
+#: For fitting: tokens of one secret and windows of one document at most, and windows of one padded block.
+SECRET_TOKENS = 128
+DOCUMENT_WINDOWS = 8
+BLOCK_WINDOWS = 1024
 ROUNDS, RATE, SHRINK = 80, 0.3, 1e-3
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -234,7 +238,11 @@ def crf_spans(model: Model, texts: list[str], langs: list[str | None]) -> list[l
 
 
 def training_windows(text: str, lang: str | None, draw: int) -> list[dict]:
-    """Windows of tokens with tags from the base patterns; some texts without a secret give one, by the draw."""
+    """Windows of tokens with tags from the base patterns; some texts without a secret give one, by the draw.
+
+    A text gives ``DOCUMENT_WINDOWS`` at most, spread over its secrets, and a window holds ``SECRET_TOKENS`` of
+    a secret at most and ``WINDOW_TOKENS`` on either side. Only fitting is bounded; decoding sees whole texts.
+    """
     spans = base_spans(text)
     if not spans and draw % NEGATIVE_SHARE:
         return []
@@ -243,54 +251,58 @@ def training_windows(text: str, lang: str | None, draw: int) -> list[dict]:
         return []
     where = [(m.start() + m.group()[0].isspace(), m.end()) for m in TOKEN.finditer(text)] if spans else []
     tags = np.zeros(len(c), dtype=np.int64)
-    covered: list[tuple[int, int]] = []
+    starts, ends = (np.array([w[k] for w in where]) for k in (0, 1))
+    covered = 0
     for start, _, end in spans:
-        inside = [k for k, (a, b) in enumerate(where) if a >= start and b <= end]
-        if inside and not any(start < b and a < end for a, b in covered):
-            covered.append((start, end))
-            tags[inside] = INSIDE
-            tags[inside[0]] = BEGIN
+        first, last = np.searchsorted(starts, start), np.searchsorted(ends, end, "right")
+        # Spans ascend, so one meets an earlier one if it begins before the last end.
+        if first < last and start >= covered:
+            covered = end
+            tags[first:last] = INSIDE
+            tags[first] = BEGIN
     runs = run_classes(np.concatenate([[PAD], c]), np.concatenate([[0], sizes]))[1:]
     files = file_features(lang, c)
     hits = np.flatnonzero(tags == BEGIN)
     if not spans:
         hits = np.array([draw // NEGATIVE_SHARE % len(c)])
+    elif len(hits) > DOCUMENT_WINDOWS:
+        hits = hits[np.arange(DOCUMENT_WINDOWS) * len(hits) // DOCUMENT_WINDOWS]
     out = []
     for hit in hits:
         a, b = max(0, hit - WINDOW_TOKENS), hit + 1
-        while b < len(c) and tags[b] == INSIDE:
+        while b < len(c) and tags[b] == INSIDE and b - hit < SECRET_TOKENS:
             b += 1
-        b = min(len(c), b + WINDOW_TOKENS)
+        # A window that holds a secret in part ends inside it.
+        b = b if b < len(c) and tags[b] == INSIDE else min(len(c), b + WINDOW_TOKENS)
         around = [int(c[k]) if 0 <= k < len(c) else PAD for k in range(a - 2, b + 2)]
         out.append({"classes": around, "runs": runs[a:b].tolist(), "files": files, "tags": tags[a:b].tolist()})
     return out
 
 
-def fit(windows: list[dict], rounds: int = ROUNDS, rate: float = RATE, shrink: float = SHRINK) -> Model:
-    """Weights by adaptive gradient ascent on the mean conditional log-likelihood; no windows: everything is outside."""
-    n_off = len(OFFSETS)
-    theta = {"shapes": np.zeros((n_off, PHI.shape[1], 3)), "runs": np.zeros((N_RUN, 3)), "files": np.zeros((N_FILE, 3)), "pairs": np.zeros((3, 3))}
-    theta["files"][: len(LANGUAGES) + 1, OUT] = 1.0
-    if not windows:
-        return Model(PHI @ theta["shapes"], theta["runs"], theta["files"] + [[5.0, 0.0, 0.0]], theta["pairs"])
-    n, most = len(windows), max(len(w["tags"]) for w in windows)
-    c = np.full((n, most + 4), PAD)
-    runs, tags, mask = np.zeros((n, most), int), np.zeros((n, most), int), np.zeros((n, most))
-    files = np.array([w["files"] for w in windows])
-    for k, w in enumerate(windows):
-        m = len(w["tags"])
-        c[k, : m + 4], runs[k, :m], tags[k, :m], mask[k, :m] = w["classes"], w["runs"], w["tags"], 1
-    one_hot = np.eye(3)[tags] * mask[..., None]
-    both = mask[:, 1:] * mask[:, :-1]
-    seen_pairs = np.einsum("nti,ntj,nt->ij", np.eye(3)[tags[:, :-1]], np.eye(3)[tags[:, 1:]], both)
-    power = {k: np.full_like(v, 1e-8) for k, v in theta.items()}
-    real = mask > 0
+class _Block:
+    """Windows padded to the longest among them, out of ``total``."""
 
-    def counted(places: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
-        flat = np.broadcast_to(places, weights.shape[:-1]).ravel()
-        return np.stack([np.bincount(flat, weights[..., y].ravel(), size) for y in range(3)], axis=1)
+    def __init__(self, windows: list[dict], total: int) -> None:
+        n, most = len(windows), max(len(w["tags"]) for w in windows)
+        self.total, self.c = total, np.full((n, most + 4), PAD)
+        self.runs, self.tags, self.mask = np.zeros((n, most), int), np.zeros((n, most), np.int8), np.zeros((n, most))
+        self.files = np.array([w["files"] for w in windows])
+        for k, w in enumerate(windows):
+            m = len(w["tags"])
+            self.c[k, : m + 4], self.runs[k, :m], self.tags[k, :m], self.mask[k, :m] = w["classes"], w["runs"], w["tags"], 1
+
+    def slope(self, theta: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """The windows' part in the slope of the mean conditional log-likelihood."""
+        c, runs, tags, mask, files = self.c, self.runs, self.tags, self.mask, self.files
+        n, most = mask.shape
+        real, one_hot = mask > 0, np.eye(3)[tags] * mask[..., None]
+        both = mask[:, 1:] * mask[:, :-1]
+        seen_pairs = np.einsum("nti,ntj,nt->ij", np.eye(3)[tags[:, :-1]], np.eye(3)[tags[:, 1:]], both)
+
+        def counted(places: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+            flat = np.broadcast_to(places, weights.shape[:-1]).ravel()
+            return np.stack([np.bincount(flat, weights[..., y].ravel(), size) for y in range(3)], axis=1)
 
-    for _ in range(rounds):
         tables = PHI @ theta["shapes"]
         e = theta["runs"][runs] + theta["files"][files].sum(axis=1)[:, None, :]
         for k, offset in enumerate(OFFSETS):
@@ -308,18 +320,35 @@ def fit(windows: list[dict], rounds: int = ROUNDS, rate: float = RATE, shrink: f
             backward[t] = np.where(real[:, t + 1, None], now / now.sum(axis=1, keepdims=True), 1.0)
         marginal = (forward * backward).transpose(1, 0, 2)
         marginal *= mask[..., None] / marginal.sum(axis=2, keepdims=True)
-        gap = (one_hot - marginal) / n
+        gap = (one_hot - marginal) / self.total
         left, right = forward[:-1].transpose(1, 0, 2), (own[:, 1:] * backward[1:].transpose(1, 0, 2))
         norm = ((left @ step) * right).sum(axis=2)
         expected = step * np.einsum("nti,ntj->ij", left * (both / norm)[..., None], right)
-        slope = {
+        return {
             "shapes": np.stack([PHI.T @ counted(c[:, 2 + o : 2 + o + most], gap, N_CLASS + 1) for o in OFFSETS]),
             "runs": counted(runs, gap, N_RUN),
             "files": sum(counted(files[:, k], gap.sum(axis=1), N_FILE) for k in range(files.shape[1])),
-            "pairs": (seen_pairs - expected) / n,
+            "pairs": (seen_pairs - expected) / self.total,
         }
-        for k in theta:
-            g = slope[k] - shrink * theta[k]
+
+
+def fit(windows: list[dict], rounds: int = ROUNDS, rate: float = RATE, shrink: float = SHRINK) -> Model:
+    """Weights by adaptive gradient ascent on the mean conditional log-likelihood; no windows: everything is outside."""
+    n_off = len(OFFSETS)
+    theta = {"shapes": np.zeros((n_off, PHI.shape[1], 3)), "runs": np.zeros((N_RUN, 3)), "files": np.zeros((N_FILE, 3)), "pairs": np.zeros((3, 3))}
+    theta["files"][: len(LANGUAGES) + 1, OUT] = 1.0
+    if not windows:
+        return Model(PHI @ theta["shapes"], theta["runs"], theta["files"] + [[5.0, 0.0, 0.0]], theta["pairs"])
+    # Blocks of windows of about one length: padding and memory do not follow the longest window.
+    windows = sorted(windows, key=lambda w: len(w["tags"]))
+    blocks = [_Block(windows[k : k + BLOCK_WINDOWS], len(windows)) for k in range(0, len(windows), BLOCK_WINDOWS)]
+    power = {k: np.full_like(v, 1e-8) for k, v in theta.items()}
+    for _ in range(rounds):
+        slope = {k: -shrink * v for k, v in theta.items()}
+        for block in blocks:
+            for k, g in block.slope(theta).items():
+                slope[k] += g
+        for k, g in slope.items():
             power[k] += g * g
             theta[k] += rate * g / np.sqrt(power[k])
     return Model(PHI @ theta["shapes"], theta["runs"], theta["files"], theta["pairs"])
@@ -328,7 +357,7 @@ def fit(windows: list[dict], rounds: int = ROUNDS, rate: float = RATE, shrink: f
 def fit_on_sample(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Model:
     """The field of a sample of about ``sample_documents`` of ``doc_id, text, lang``, chosen by hash.
 
-    Windows are cut in the tasks; only those of the sample, a bounded number of tokens each,
+    Windows are cut in the tasks; only those of the sample, of bounded number and length each document,
     come to the driver. They are sorted, so that the result does not depend on arrival.
     """
     n = docs.count()

@@ -181,6 +181,16 @@ def test_secrets(llm, odd, none, sf):
     assert secrets.find_secrets(none, secrets.fit_on_sample(none)).count() == 0
 
 
+def test_training_windows_are_bounded():
+    most = secrets.SECRET_TOKENS + 2 * secrets.WINDOW_TOKENS
+    texts = ["0123456789abcdef" * 20_000, "\n".join(f"token = 'q{k}W8e7R6t5Y4u3I2o{k}'" for k in range(3000)), "plain words only " * 50]
+    windows = [secrets.training_windows(x, "en", 0) for x in texts]
+    assert all(windows) and max(map(len, windows)) == secrets.DOCUMENT_WINDOWS
+    assert max(len(w["tags"]) for x in windows for w in x) <= most
+    model = secrets.fit([w for x in windows for w in x], rounds=3)
+    assert all(np.isfinite(x).all() for x in model)
+
+
 def measures_reference(text):
     text = text or ""
     w = WORD.findall(text)
