@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litpulse.llm import harmonic, repair
+from litpulse.llm import harmonic, phrases, repair
 from litpulse.llm.common import table
 from litpulse.llm.registry import query
 from litpulse.llm.tokens import public_path
@@ -89,3 +89,37 @@ FROM (SELECT DISTINCT conv_id FROM conversations) e LEFT JOIN done ON done.conv_
 def conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return repair.digests(repair.repair(repair.damage(turns), turns.select("conv_id")))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+PHRASE_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{phrases.NO_LANG}') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+words AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+placed AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM worded, (SELECT unnest(range(1, {phrases.LONGEST + 1})) AS m)),
+f AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS a FROM placed
+  GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
+longer AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(a) AS around
+  FROM (SELECT *, unnest(range(1, m - k + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS k FROM c)) GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM c LEFT JOIN longer USING (lang, phrase)
+  WHERE around IS NULL OR CAST(around AS HUGEINT) * 100 < CAST(a AS HUGEINT) * {phrases.COVERED}),
+cut AS (SELECT *, unnest(range(1, m)) AS k FROM kept),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, x.a AS l, y.a AS r, k, CAST(CAST({phrases.SCORE_SCALE} AS HUGEINT) * cut.a // (x.a + y.a) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(cut.w[1:k], ' ')
+    JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(cut.w[k + 1:], ' ')),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN words USING (lang) WHERE rank <= {phrases.BEST}"""
+
+
+@query("op11_phrase_fingerprints", PHRASE_SQL)
+def phrase_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents").select("lang", "text"))
