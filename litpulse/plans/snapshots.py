@@ -16,7 +16,8 @@ from litpulse.operators.quality import (
 )
 from litpulse.plans import activity, citations
 from litpulse.session import materialise
-from litpulse.sources.sinks import export_ranking, overwrite_snapshot, replace_version
+from litpulse.sources.publishing import Publication
+from litpulse.sources.sinks import in_rank_order
 
 
 def build_activity_snapshot(
@@ -33,8 +34,8 @@ def build_activity_snapshot(
 
     Each table is built once in the shared scratch folder and read back by the next
     step, so nothing is computed twice and a lost executor costs no more than the
-    running step. Only when all of them have passed the checks are they published: a run
-    that fails leaves the tables of the last good one as they were.
+    running step. Only when all of them have passed the checks are they published, by one commit
+    of ``Publication(spark, out)``: a run that fails, at whatever point, leaves the tables of the last good one.
     """
     spark = events.sparkSession
     bound = activity.rank_bound(snap, k, first_year)
@@ -60,12 +61,13 @@ def build_activity_snapshot(
         ),
     }
     require_rows(**built)
-    for name, df in built.items():
-        overwrite_snapshot(df, f"{out}/{name}")
-    # The ranking goes last: whoever reads it finds the tables it refers to.
-    export_ranking(ranking, f"{out}/ranking")
+    publication = Publication(spark, out)
+    with publication.commit() as commit:
+        for name, df in built.items():
+            commit.overwrite(name, df)
+        commit.overwrite("ranking", in_rank_order(ranking))
     tables = ("ranking", "bridge", "paper_details", "repo_details")
-    return row_counts({t: spark.read.parquet(f"{out}/{t}") for t in tables})
+    return row_counts({t: publication.read(t) for t in tables})
 
 
 def build_citation_version(
@@ -79,21 +81,20 @@ def build_citation_version(
 ) -> DataFrame:
     """Write ranking and details of one version below ``out``; return the check report.
 
-    Other versions stay as they are; a rerun replaces its own version. Both tables are
-    checked before either is published: a version without rows or with gaps raises, and
-    what was published before stays. ``status`` is the state the task ledger holds.
+    Other versions stay as they are; a rerun replaces its own version. Both tables are checked before
+    one commit of ``Publication(spark, out)`` publishes them together: a version without rows or with gaps raises,
+    and what was published before stays. ``status`` is the state the task ledger holds.
     """
     require_past(as_of, today)
-    spark = works.sparkSession
-
-    def stored(name: str) -> DataFrame:
-        return spark.read.parquet(f"{out}/{name}").where(F.col("as_of_date") == F.lit(as_of))
-
+    publication = Publication(works.sparkSession, out)
     ranking = materialise(citations.citation_ranking(works, papers, as_of, k), "citation_ranking")
     require_rows(ranking=ranking)
     require_contiguous(ranking, k)
     details = materialise(citations.citation_details(ranking, works, papers, as_of, k), "citation_details")
     require_rows(details=details)
-    replace_version(details, f"{out}/citation_details", "as_of_date")
-    replace_version(ranking, f"{out}/citation_ranking", "as_of_date")
-    return citation_report(stored("citation_ranking"), stored("citation_details"), F.lit(status), k)
+    version, built = F.col("as_of_date"), {"citation_ranking": ranking, "citation_details": details}
+    with publication.commit() as commit:
+        for name, df in built.items():
+            commit.replace(name, df, version, [as_of], required=True)
+    stored = [publication.read(name, [as_of]) for name in built]
+    return citation_report(*stored, F.lit(status), k)

@@ -14,6 +14,8 @@ PAPERS = (
 )
 REPOS = "repo_id bigint, full_name string, owner string, name string, created date"
 EDGES = "repo_id bigint, arxiv_id string, added boolean, date date"
+# README texts as landed: ``landed`` is in milliseconds.
+READMES = "repo_id bigint, readme string, landed bigint"
 EVENTS = "repo_id bigint, metric string, date date, count bigint"
 # Counts of one landed page: pages of a scan add up, a later scan replaces the day.
 EVENT_PAGES = f"{EVENTS}, scan bigint, page int"

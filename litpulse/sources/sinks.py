@@ -14,7 +14,12 @@ def overwrite_snapshot(df: DataFrame, path: str) -> None:
 
 
 def replace_version(df: DataFrame, path: str, version: str) -> None:
-    """Replace the partitions of the versions in ``df``; other versions stay."""
+    """Replace the partitions of the versions in ``df``; other versions stay.
+
+    A frame without rows names no version, so it raises instead of leaving the old one in place unnoticed. To
+    replace several tables at once, or to remove a version, use a commit of ``Publication``.
+    """
+    require_rows(version=df)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -23,9 +28,13 @@ def replace_version(df: DataFrame, path: str, version: str) -> None:
     )
 
 
-def export_ranking(ranking: DataFrame, path: str) -> None:
+def in_rank_order(ranking: DataFrame) -> DataFrame:
     """The ranking, globally ordered by window, metric and rank."""
-    ranking.orderBy("window_name", "metric", "rank").write.mode("overwrite").parquet(path)
+    return ranking.orderBy("window_name", "metric", "rank")
+
+
+def export_ranking(ranking: DataFrame, path: str) -> None:
+    in_rank_order(ranking).write.mode("overwrite").parquet(path)
 
 
 def export_table(df: DataFrame, path: str) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from litpulse.operators import quality
 from litpulse.plans import activity, citations, reader, snapshots
 from litpulse.schemas import EDGES, EVENTS, METRICS, PAPERS, REPOS, WORKS
+from litpulse.sources.publishing import Publication
 
 SNAP = dt.date(2012, 3, 31)
 FIRST = 2009
@@ -110,7 +111,7 @@ def test_snapshot_build(spark, world, tmp_path):
     assert counts == again and all(counts.values())
 
     def stored(name):
-        return spark.read.parquet(f"{tmp_path}/{name}")
+        return Publication(spark, str(tmp_path)).read(name)
 
     ranking, details = stored("ranking"), stored("paper_details")
     assert quality.ranking_violations(ranking).where("violations > 0").count() == 0
@@ -142,7 +143,7 @@ def test_failed_snapshot_keeps_the_last_one(spark, world, tmp_path):
 
     def build(events, edges):
         snapshots.build_activity_snapshot(events, edges, frames["papers"], frames["repos"], SNAP, str(tmp_path), k=5, first_year=FIRST)
-        return {t: spark.read.parquet(f"{tmp_path}/{t}").count() for t in tables}
+        return {t: Publication(spark, str(tmp_path)).read(t).count() for t in tables}
 
     with pytest.raises(ValueError, match="repo_activity"):
         build(frames["events"].limit(0), frames["edges"])
@@ -151,7 +152,7 @@ def test_failed_snapshot_keeps_the_last_one(spark, world, tmp_path):
     for events, edges, name in ((frames["events"].limit(0), frames["edges"], "repo_activity"), (frames["events"], frames["edges"].limit(0), "ranking")):
         with pytest.raises(ValueError, match=name):
             build(events, edges)
-        assert {t: spark.read.parquet(f"{tmp_path}/{t}").count() for t in tables} == good
+        assert {t: Publication(spark, str(tmp_path)).read(t).count() for t in tables} == good
     # A rerun with fewer rows replaces every table.
     fewer = build(frames["events"], frames["edges"].where("repo_id = 1"))
     assert all(fewer[t] < good[t] for t in ("bridge", "paper_linked_repos", "repo_details"))
@@ -247,7 +248,7 @@ def test_citation_version(spark, cited, tmp_path):
     for as_of in (early, AS_OF, AS_OF):
         report = snapshots.build_citation_version(w, p, as_of, AS_OF, str(tmp_path)).first()
         assert report.passed and report.n_missing_details == 0
-    ranking = spark.read.parquet(f"{tmp_path}/citation_ranking")
+    ranking = Publication(spark, str(tmp_path)).read("citation_ranking")
     assert {r[0] for r in ranking.select(F.to_date("as_of_date")).distinct().collect()} == {early, AS_OF}
     with pytest.raises(ValueError, match="future"):
         snapshots.build_citation_version(w, p, AS_OF, early, str(tmp_path))
@@ -255,7 +256,7 @@ def test_citation_version(spark, cited, tmp_path):
     before = ranking.groupBy("as_of_date").count().collect()
     with pytest.raises(ValueError, match="ranking"):
         snapshots.build_citation_version(w.limit(0), p, AS_OF, AS_OF, str(tmp_path))
-    again = spark.read.parquet(f"{tmp_path}/citation_ranking")
+    again = Publication(spark, str(tmp_path)).read("citation_ranking")
     assert sorted(again.groupBy("as_of_date").count().collect()) == sorted(before)
     report = snapshots.build_citation_version(w, p, AS_OF, AS_OF, str(tmp_path), k=3, status="running").first()
     assert report.max_rank == 3 and report.n_bad_windows == 0 and not report.passed

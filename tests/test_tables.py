@@ -63,6 +63,8 @@ def test_optional_and_snapshot(spark, rows, tmp_path):
     assert {tuple(r) for r in both.select("as_of_date", "v").collect()} == {(D(2026, 1, 1), 1), (D(2026, 1, 2), 3)}
     assert [r.v for r in tables.latest_snapshot(both, "as_of_date").collect()] == [3]
     assert [r.v for r in tables.read_snapshot(spark, path, "as_of_date", D(2026, 1, 1)).collect()] == [1]
+    with pytest.raises(ValueError, match="version"):  # names no version to replace
+        sinks.replace_version(both.limit(0), path, "as_of_date")
     stats = tables.output_stats(spark, path, "as_of_date").first()
     assert stats.n_partitions == 2 and stats.n_bytes > 0
     with pytest.raises(AnalysisException):
@@ -175,20 +177,6 @@ def test_streams_equal_batches(spark, rows, tmp_path):
     assert (1, "star", D(2020, 1, 1), 7) in got and len(got) == 3
 
 
-def test_paper_stream(spark, tmp_path):
-    from tests.test_payloads import page, record
-
-    landing = tmp_path / "pages"
-    landing.mkdir()
-    (landing / "1.xml").write_text(page(record(), record(status=' status="deleted"')))
-    out, state = str(tmp_path / "papers"), str(tmp_path / "state")
-    ingest.stream_papers(spark, str(landing), out, state)
-    (landing / "2.xml").write_text(page(record(body="<doi>10.1/x</doi>")))
-    ingest.stream_papers(spark, str(landing), out, state)
-    got = ingest.papers_table(spark, out).read().collect()
-    assert [(r.arxiv_id, r.doi) for r in got] == [("2310.00826", "10.1/x")]
-
-
 def test_atom_links(spark, rows):
     from litpulse.sources import payloads
 
