@@ -1,11 +1,13 @@
 """Phrase collocations by Rabin-Karp fingerprints.
 
 Texts become blocks of word codes with a dictionary of their own. Prefix polynomials over a block's word hashes
-give the fingerprint of every n-gram by one subtraction. The shuffle adds up counts by fingerprint; every row of
-it points to an occurrence (block and place). Only fingerprints that reach the threshold go back to their blocks, by a join on
-the block, where the next length looks at n-grams made of frequent ones alone. At the end the pointers of frequent
-fingerprints are turned into text, and counts are added up once more by text: phrases that share a fingerprint
-fall apart there, and those below the threshold go. Texts of other phrases are never built.
+give the fingerprint of every n-gram by one subtraction. A block sends its fingerprints to the shuffle as sorted
+runs, one a slice of the fingerprints' range, with their counts; the place of an entry in its run is the pointer to
+its occurrences. Adding up a slice over all blocks says which entries reach the threshold, and a bit an
+entry goes back to the block, where the next length looks at n-grams made of frequent ones alone. At the end the
+occurrences behind frequent fingerprints are checked word by word and turned into text, and counts are added up once more
+by text: phrases that share a fingerprint fall apart there, and those below the threshold go. Texts of other
+phrases are never built.
 """
 
 from __future__ import annotations
@@ -26,19 +28,30 @@ LEAST, LONGEST, BEST = 30, 4, 2000
 COVERED = 80
 SCORE_SCALE = 2_000_000
 NO_LANG = "und"
-#: Text bytes of a block, about two million words, and of what is hashed together, so that helper arrays stay small.
-BLOCK_BYTES, HASH_BYTES = 12_000_000, 1_000_000
+#: Text bytes of a block, about 1.3 million words, and of what is hashed together, so that helper arrays stay small.
+BLOCK_BYTES, HASH_BYTES = 8_000_000, 1_000_000
+#: Slices of the fingerprints' range at least; there are as many as blocks, so that a slice is about as large as a block.
+SLICES = 64
+#: Rows of phrases in a record batch.
+BATCH_ROWS = 50_000
 _BREAKS = np.isin(np.arange(256), [ord(c) for c in ".,;:!?\n\x0b\x0c\r"])
 _GAPS = _BREAKS | np.isin(np.arange(256), [32, 9])
 #: Base of the polynomials, odd so that its powers have inverses modulo 2**64, and a factor for final mixing.
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD)
 
-BLOCK = "block long, codes binary, words binary, langs array<string>, ends array<int>, n_words array<long>"
+BLOCK = "block long, codes binary, size int, words binary, langs array<string>, ends array<int>, n_words array<long>"
 _BLOCK = pa.schema(
-    [("block", pa.int64()), ("codes", pa.binary()), ("words", pa.binary()), ("langs", pa.list_(pa.string())), ("ends", pa.list_(pa.int32())), ("n_words", pa.list_(pa.int64()))]
-)
-PARTIAL = "fingerprint long, n int, block long, place int, occurrences long"
-_PARTIAL = pa.schema([("fingerprint", pa.int64()), ("n", pa.int32()), ("block", pa.int64()), ("place", pa.int32()), ("occurrences", pa.int64())])
+    [
+        ("block", pa.int64()), ("codes", pa.binary()), ("size", pa.int32()), ("words", pa.binary()),
+        ("langs", pa.list_(pa.string())), ("ends", pa.list_(pa.int32())), ("n_words", pa.list_(pa.int64())),
+    ]
+)
+RUN = "slice int, block long, keys binary, counts binary"
+_RUN = pa.schema([("slice", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+BITS = "block long, slice int, bits binary"
+_BITS = pa.schema([("block", pa.int64()), ("slice", pa.int32()), ("bits", pa.binary())])
+PHRASE = "lang string, n int, phrase string, occurrences long"
+_PHRASE = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.string()), ("occurrences", pa.int64())])
 
 
 def _word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,7 +118,7 @@ def make_block(number: int, docs: list[tuple[str, str]]) -> dict:
             runs.append([lang, n])
     langs = [r[0] for r in runs]
     if not data:
-        return {"block": number, "codes": b"", "words": b"", "langs": langs, "ends": [0] * len(runs), "n_words": [0] * len(runs)}
+        return {"block": number, "codes": b"", "size": 0, "words": b"", "langs": langs, "ends": [0] * len(runs), "n_words": [0] * len(runs)}
     solid, n, after = np.concatenate(data), np.concatenate(lengths), np.concatenate(breaks)
     codes, first = _word_codes(np.concatenate(hashes), solid, n)
     starts, raw = np.cumsum(n) - n, solid.tobytes()
@@ -115,7 +128,8 @@ def make_block(number: int, docs: list[tuple[str, str]]) -> dict:
     out[to] = codes
     upto = np.cumsum([r[1] for r in runs])
     ends = [int(to[u - 1]) + 2 if u else 0 for u in upto]
-    return {"block": number, "codes": out.tobytes(), "words": words, "langs": langs, "ends": ends, "n_words": [r[1] for r in runs]}
+    packed = pa.compress(out.tobytes(), codec="zstd", asbytes=True)
+    return {"block": number, "codes": packed, "size": len(out), "words": words, "langs": langs, "ends": ends, "n_words": [r[1] for r in runs]}
 
 
 def _cut(text: str) -> Iterator[str]:
@@ -158,44 +172,70 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Block:
-    """A block as a task reads it."""
+    """A block as a task reads it, with the fingerprints of its n-grams."""
 
     def __init__(self, row: dict):
-        self.codes = np.frombuffer(row["codes"], dtype="<i4")
+        raw = pa.decompress(row["codes"], decompressed_size=4 * row["size"], codec="zstd", asbytes=True) if row["size"] else b""
+        self.codes = np.frombuffer(raw, dtype="<i4")
         self.words = row["words"].split(b" ")
         starts = [0, *row["ends"]]
-        self.runs = [(lang, a, b) for lang, a, b in zip(row["langs"], starts, starts[1:], strict=False) if b > a]
-
-    def prefix(self) -> None:
-        """Prefix polynomials over the word hashes; a break counts as 0."""
+        runs = [(lang, b - a) for lang, a, b in zip(row["langs"], starts, starts[1:], strict=False) if b > a]
+        self.langs = [lang for lang, _ in runs]
+        self.run_of = np.repeat(np.arange(len(runs)), [n for _, n in runs])
         lengths = np.array([len(w) for w in self.words], dtype=np.int64)
         hashes = hash_pieces(np.frombuffer(b"".join(self.words), dtype=np.uint8), np.cumsum(lengths) - lengths)[0]
+        # Prefix polynomials over the word hashes; a break counts as 0.
         power, self.back = _powers(len(self.codes))
-        values = np.where(self.codes >= 0, hashes[self.codes], np.uint64(0)) * power
-        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values)])
+        self.sums = np.zeros(len(self.codes) + 1, dtype=np.uint64)
+        np.cumsum(np.where(self.codes >= 0, hashes[self.codes], np.uint64(0)) * power, out=self.sums[1:])
 
-    def fingerprints(self, places: np.ndarray, n: int, lang: str) -> np.ndarray:
+    def fingerprints(self, places: np.ndarray, n: int) -> np.ndarray:
+        seeds = np.array([xxhash.xxh64_intdigest(f"{n}:{lang}") for lang in self.langs], dtype=np.uint64)
         h = (self.sums[places + n] - self.sums[places]) * self.back[places]
-        h = (h ^ (h >> np.uint64(31))) + np.uint64(xxhash.xxh64_intdigest(f"{n}:{lang}"))
-        h = h * _MIX
-        return (h ^ (h >> np.uint64(33))).view(np.int64)
-
-    def frequent_codes(self, places: np.ndarray, a: int, b: int) -> np.ndarray:
-        """Which places of a run hold a word that stands at one of the given places of the run."""
-        known = np.zeros(len(self.words) + 1, dtype=bool)
-        known[self.codes[places]] = True
-        known[-1] = False
-        return known[self.codes[a:b]]
-
-    def frequent_pairs(self, places: np.ndarray, a: int, b: int) -> np.ndarray:
-        """Which places of a run begin a pair that begins at one of the given places of the run."""
-        codes = self.codes[a:b].astype(np.int64)
-        out = np.zeros(b - a, dtype=bool)
-        maybe = np.flatnonzero(self.frequent_codes(places, a, b)[:-1] & self.frequent_codes(places + 1, a, b)[1:])
-        pair = lambda k: codes[k] * len(self.words) + codes[k + 1]
-        out[maybe] = np.isin(pair(maybe), pair(places - a))
+        h = (h ^ (h >> np.uint64(31))) + seeds[self.run_of[places]]
+        h *= _MIX
+        return h ^ (h >> np.uint64(33))
+
+    def grams(self, level: int, good: np.ndarray | None, longest: int) -> list[tuple[int, np.ndarray]]:
+        """Length and places of a level's n-grams: words, pairs of frequent words, or longer ones made of frequent pairs."""
+        if level == 1:
+            return [(1, np.flatnonzero(self.codes >= 0))]
+        if level == 2:
+            return [(2, np.flatnonzero(good[:-1] & good[1:]))]
+        run, out = good, []
+        for n in range(3, longest + 1):
+            run = run[:-1] & good[n - 2 :]
+            out.append((n, np.flatnonzero(run)))
         return out
 
+    def keys(self, grams: list[tuple[int, np.ndarray]], slice_bits: int) -> np.ndarray:
+        """The leading bits of the fingerprints: those of the slice and 32 more."""
+        found = [self.fingerprints(places, n) for n, places in grams]
+        return np.concatenate(found) >> np.uint64(32 - slice_bits)
+
+    def frequent(self, level: int, bits: list[dict], slice_bits: int, longest: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
+        """The n-grams of the level whose fingerprints are frequent, by the bits that came back for levels up to it."""
+        good, kept = None, []
+        for at in range(1, level + 1):
+            grams = self.grams(at, good, longest)
+            keys, inverse = np.unique(self.keys(grams, slice_bits), return_inverse=True)
+            flags = self.flags(keys, [b for b in bits if b["level"] == at])[inverse]
+            kept, start = [], 0
+            for n, places in grams:
+                kept.append((n, places[flags[start : start + len(places)]]))
+                start += len(places)
+            good = np.zeros(len(self.codes), dtype=bool)
+            good[kept[0][1]] = True
+        return kept, good
+
+    @staticmethod
+    def flags(keys: np.ndarray, bits: list[dict]) -> np.ndarray:
+        """The bits of all slices in order, one a key."""
+        slices, counts = np.unique(keys >> np.uint64(32), return_counts=True)
+        of = {b["slice"]: b["bits"] for b in bits}
+        parts = [np.unpackbits(np.frombuffer(of[s], dtype=np.uint8), count=c) for s, c in zip(slices.tolist(), counts.tolist(), strict=True)]
+        return np.concatenate(parts).astype(bool) if parts else np.zeros(0, dtype=bool)
+
 
 def distinct(fingerprints: np.ndarray, places: np.ndarray, codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Fingerprint, first place and count of the n-grams at ``places``; equal fingerprints are checked word by word."""
@@ -207,67 +247,82 @@ def distinct(fingerprints: np.ndarray, places: np.ndarray, codes: np.ndarray, n:
     return fingerprints[first], places[first], counts
 
 
-def _partials(longest: int):
-    """Counts of a block's n-grams: words, pairs of frequent words, or longer ones made of frequent pairs.
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
 
-    ``longest`` 1 needs no places; for 2 they are those of frequent words, for more those of frequent pairs.
-    """
+
+def _runs(level: int, longest: int, slice_bits: int):
+    """A block's fingerprints of a level as sorted runs, one a slice, with counts of at most 255."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                block = Block(row)
-                if not len(block.codes):
-                    continue
-                block.prefix()
-                known = np.array(row.get("places") or [], dtype=np.int64)
-                for lang, a, b in block.runs:
-                    here = known[(known >= a) & (known < b)]
-                    if longest == 1:
-                        wanted = [(1, block.codes[a:b] >= 0)]
-                    elif longest == 2:
-                        good = block.frequent_codes(here, a, b)
-                        wanted = [(2, good[:-1] & good[1:])]
-                    else:
-                        pair = block.frequent_pairs(here, a, b)
-                        wanted, run = [], pair
-                        for n in range(3, longest + 1):
-                            run = run[:-1] & pair[n - 2 :]
-                            wanted.append((n, run))
-                    for n, mask in wanted:
-                        places = np.flatnonzero(mask) + a
-                        if not len(places):
-                            continue
-                        f, first, counts = distinct(block.fingerprints(places, n, lang), places, block.codes, n)
-                        size = len(f)
-                        columns = [f, np.full(size, n, np.int32), np.full(size, row["block"]), first.astype(np.int32), counts.astype(np.int64)]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_PARTIAL)
+        for row in _rows(batches):
+            if not row["size"]:
+                continue
+            block = Block(row)
+            good = block.frequent(level - 1, row["bits"], slice_bits, longest)[1] if level > 1 else None
+            keys, counts = np.unique(block.keys(block.grams(level, good, longest), slice_bits), return_counts=True)
+            slices, starts = np.unique(keys >> np.uint64(32), return_index=True)
+            low, few = keys.astype("<u4"), np.minimum(counts, 255).astype(np.uint8)
+            bounds = [*starts.tolist(), len(keys)]
+            parts = list(zip(bounds, bounds[1:], strict=False))
+            columns = [slices.astype(np.int32), np.full(len(parts), row["block"]), [low[a:b].tobytes() for a, b in parts], [few[a:b].tobytes() for a, b in parts]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RUN, strict=True)], schema=_RUN)
 
     return task
 
 
-def _frequent(partials: DataFrame, least: int, name: str) -> DataFrame:
-    """The rows whose fingerprint reaches the threshold over all blocks; a fingerprint has one row a block."""
-    total = F.sum("occurrences").over(Window.partitionBy("fingerprint"))
-    return materialise(partials.withColumn("total", total).where(F.col("total") >= least).drop("total", "fingerprint"), name)
+def _sums(least: int):
+    """For each run of a slice, a bit an entry: whether its fingerprint reaches the threshold over all blocks."""
+    if least > 255:
+        raise ValueError("counts of a run end at 255")
 
+    def bits(number: int, runs: list[dict]) -> pa.RecordBatch:
+        keys = np.concatenate([np.frombuffer(r["keys"], dtype="<u4") for r in runs])
+        counts = np.concatenate([np.frombuffer(r["counts"], dtype=np.uint8) for r in runs])
+        order = np.argsort(keys)
+        ordered = keys[order]
+        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        enough = ordered[first[np.add.reduceat(counts[order].astype(np.int64), first) >= least]]
+        flags, ends = np.isin(keys, enough), np.cumsum([len(r["counts"]) for r in runs])
+        packed = [np.packbits(flags[e - len(r["counts"]) : e]).tobytes() for r, e in zip(runs, ends.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([r["block"] for r in runs]), pa.array([number] * len(runs), pa.int32()), pa.array(packed, pa.binary())], schema=_BITS)
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The phrases that a block's pointers stand for."""
-    schema = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.string()), ("occurrences", pa.int64())])
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = batch.slice(k, 1).to_pylist()[0]
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0]["slice"] != row["slice"]:
+                    yield bits(held[0]["slice"], held)
+                    held = []
+                held.append(row)
+        if held:
+            yield bits(held[0]["slice"], held)
+
+    return task
+
+
+def _texts(levels: int, longest: int, slice_bits: int):
+    """The n-grams of a block behind frequent fingerprints, checked word by word, as text with their counts."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
             block = Block(row)
-            ends = np.array([b for _, _, b in block.runs])
-            at = np.array([p["place"] for p in row["pointers"]])
-            langs = np.searchsorted(ends, at, side="right").tolist()
-            rows = []
-            for p, run in zip(row["pointers"], langs, strict=True):
-                words = block.codes[p["place"] : p["place"] + p["n"]].tolist()
-                rows.append((block.runs[run][0], p["n"], b" ".join(block.words[c] for c in words).decode(), p["occurrences"]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            for level in range(1, levels + 1):
+                for n, places in block.frequent(level, row["bits"], slice_bits, longest)[0]:
+                    if not len(places):
+                        continue
+                    _, first, counts = distinct(block.fingerprints(places, n), places, block.codes, n)
+                    for at in range(0, len(first), BATCH_ROWS):
+                        some = first[at : at + BATCH_ROWS]
+                        words = [[block.words[c] for c in block.codes[some + k].tolist()] for k in range(n)]
+                        phrases = [b" ".join(w).decode() for w in zip(*words, strict=True)]
+                        langs = [block.langs[r] for r in block.run_of[some].tolist()]
+                        columns = [langs, np.full(len(some), n, np.int32), phrases, counts[at : at + BATCH_ROWS].astype(np.int64)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PHRASE, strict=True)], schema=_PHRASE)
+
+    return task
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -277,23 +332,23 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     are left out, whatever their names. A null text is empty, a null language is ``und`` (and one with it). Every row
     counts, repeated ones as well. Empty table: no rows. Phrases stay within pieces between breaks.
 
-    A task holds one block at a time; a text longer than a block is cut at a break into several. A word that
-    holds a third of all places has one row a block in the shuffle. Nothing is broadcast but by the planner's own
-    size check of a written table.
+    A task holds one block, or one slice of the fingerprints, at a time; a text longer than a block is cut at a break
+    into several. A word that holds a third of all places has one entry a block in the shuffle. Nothing is broadcast but
+    by the planner's own size check of a written table.
     """
     blocks = materialise(docs.select("lang", "text").mapInArrow(_blocks, BLOCK), "blocks")
-    where = lambda f: f.groupBy("block").agg(F.collect_list("place").alias("places"))
-    found = [_frequent(blocks.select("block", "codes", "words", "langs", "ends").mapInArrow(_partials(1), PARTIAL), least, "words")]
-    for n in sorted({2, longest}) if longest > 1 else ():
-        places = materialise(where(found[-1]), "places")
-        known = blocks.join(places, "block").select("block", "codes", "words", "langs", "ends", "places")
-        found.append(_frequent(known.mapInArrow(_partials(n), PARTIAL), least, f"grams{n}"))
-    pointers = found[0]
-    for f in found[1:]:
-        pointers = pointers.unionByName(f)
-    pointers = pointers.groupBy("block").agg(F.collect_list(F.struct("place", "n", "occurrences")).alias("pointers"))
-    texts = blocks.join(materialise(pointers, "pointers"), "block").select("codes", "words", "langs", "ends", "pointers")
-    texts = texts.mapInArrow(_texts, "lang string, n int, phrase string, occurrences long")
+    slice_bits = (max(SLICES, blocks.count()) - 1).bit_length()
+    levels = min(longest, 3)
+    columns = ("block", "codes", "size", "words", "langs", "ends")
+    known, bits = blocks.select(*columns), None
+    for level in range(1, levels + 1):
+        runs = known.mapInArrow(_runs(level, longest, slice_bits), RUN)
+        dealt = runs.repartition("slice").sortWithinPartitions("slice")
+        found = materialise(dealt.mapInArrow(_sums(least), BITS).withColumn("level", F.lit(level)), "bits")
+        bits = found if bits is None else bits.unionByName(found)
+        back = materialise(bits.groupBy("block").agg(F.collect_list(F.struct("level", "slice", "bits")).alias("bits")), "known")
+        known = blocks.join(back, "block").select(*columns, "bits")
+    texts = known.mapInArrow(_texts(levels, longest, slice_bits), PHRASE)
     phrases = texts.groupBy("lang", "n", "phrase").agg(F.sum("occurrences").alias("occurrences")).where(F.col("occurrences") >= least)
     words = blocks.select(F.explode(F.arrays_zip("langs", "n_words")).alias("x")).groupBy(F.col("x.langs").alias("lang"))
     return materialise(phrases, "phrases"), words.agg(F.sum("x.n_words").alias("words"))

@@ -5,7 +5,6 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from litpulse.llm import phrases
 from tests.llm.test_operators import llm, none, odd, odd_rows  # noqa: F401
@@ -85,16 +84,33 @@ def test_equal_fingerprints_fall_apart(llm):  # noqa: F811
     assert f.tolist() == [7, 7, 7] and first.tolist() == [0, 1, 3] and counts.tolist() == [2, 1, 1]
     code, of = phrases._word_codes(np.array([5, 5, 5], dtype=np.uint64), np.frombuffer(b"abaxb", dtype=np.uint8), np.array([2, 1, 2]))
     assert code.tolist() == [0, 1, 2] and of.tolist() == [0, 1, 2]
-    rows = made_up(random.Random(2), 300)
+    # Entries of one key in several blocks: 29 and 1 reach 30, 255 stands for more, other keys do not help.
+    runs = [(3, 1, np.array([5, 9, 11], "<u4"), [29, 29, 255]), (3, 2, np.array([5, 8], "<u4"), [1, 200]), (4, 2, np.array([5], "<u4"), [1])]
+    rows = [(s, b, bytearray(k.tobytes()), bytearray(bytes(c))) for s, b, k, c in runs]
+    df = llm.createDataFrame(rows, phrases.RUN).coalesce(1).sortWithinPartitions("slice")
+    got = {(r.block, r.slice): np.unpackbits(np.frombuffer(r.bits, np.uint8)).tolist()[:3] for r in df.mapInArrow(phrases._sums(30), phrases.BITS).collect()}
+    assert got == {(1, 3): [1, 0, 1], (2, 3): [1, 1, 0], (2, 4): [0, 0, 0]}
+
+
+def test_all_fingerprints_collide():
+    """When every key of a length is the same, counts by text still decide."""
+    rows = made_up(random.Random(2), 200)
     blocks = [phrases.make_block(k, [("en", t) for _, t in rows[k::3]]) for k in range(3)]
-    df = llm.createDataFrame([tuple(b.values()) for b in blocks], phrases.BLOCK)
-    merged = df.mapInArrow(phrases._partials(1), phrases.PARTIAL).selectExpr("fingerprint & 3 AS fingerprint", "n", "block", "place", "occurrences")
-    kept = phrases._frequent(merged, 20, "test")
-    pointers = kept.groupBy("block").agg(F.collect_list(F.struct("place", "n", "occurrences")).alias("pointers"))
-    texts = df.join(pointers, "block").select("codes", "words", "langs", "ends", "pointers").mapInArrow(phrases._texts, "lang string, n int, phrase string, occurrences long")
-    got = {r.phrase: r.x for r in texts.groupBy("phrase").agg(F.sum("occurrences").alias("x")).collect()}
-    f, _ = counted([("en", t) for _, t in rows], 1)
-    assert got == {w[0]: a for (_, w), a in f.items()}
+    found = Counter()
+    for row in blocks:
+        block = phrases.Block(row)
+        every = [{"level": level, "slice": s, "bits": bytes([255]) * 10_000} for level in (1, 2, 3) for s in range(64)]
+        for batch in phrases._texts(3, 4, 6)([_batch(row, every)]):
+            for r in batch.to_pylist():
+                found[(r["lang"], tuple(r["phrase"].split(" ")))] += r["occurrences"]
+        assert len(block.codes) == row["size"]
+    assert found == counted([("en", t) for _, t in rows])[0]
+
+
+def _batch(row, bits):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_pylist([{**row, "bits": bits}])
 
 
 def test_odd_rows(llm, odd, none):  # noqa: F811
