@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from litpulse.catalog.bindings import (
     EDGES, EVENTS, FIRST_YEAR, PAPERS, REPOS, SNAP, WORKS,
-    edges, event_lines, events, papers, repos, with_, works,
+    edges, event_lines, events, papers, repos, table, with_, works,
 )
 from litpulse.catalog.registry import query
 from litpulse.operators import quality
@@ -143,10 +143,23 @@ def _linked(spark, sf, ranked):
     return activity.paper_linked_repos(_bridge(spark, sf, ranked), _totals(spark, sf), repos(spark, sf))
 
 
-def paper_detail_rows(spark, sf):
+def stored_lists(spark, sf, ranked):
+    """The ordered repository lists of a stored ranking, as a written table."""
+    return materialise(activity.ordered_repos(_linked(spark, sf, ranked)), "linked")
+
+
+def paper_detail_rows(spark, sf, size=activity.REPO_CHUNK):
     ranked = stored_ranking(spark, sf)
-    linked = materialise(_linked(spark, sf, ranked), "linked")
-    return activity.paper_details(ranked, linked, papers(spark, sf), SNAP, BOUND)
+    return activity.paper_details(ranked, stored_lists(spark, sf, ranked), papers(spark, sf), SNAP, BOUND, size)
+
+
+#: A repository of a list as JSON text, and the list of a paper in order.
+REPO_JSON = "{'repo_id': repo_id, 'full_name': full_name, 'owner': owner, " + ", ".join(f"'{m}_total': {m}_total" for m in METRICS) + "}"
+LISTED = """listed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY arxiv_id ORDER BY star_total DESC, repo_id) AS position FROM linked)"""
+
+
+def json_list(list_column):
+    return F.to_json(list_column, {"ignoreNullFields": "false"}).alias("linked_repos")
 
 
 def repo_detail_rows(spark, sf):
@@ -272,14 +285,28 @@ _SUMS = ", ".join(
 @query(
     "paper_details",
     ACTIVITY
-    + f""", agg AS (SELECT arxiv_id, COUNT(*) AS repo_count, {_SUMS} FROM linked GROUP BY arxiv_id)
+    + f""", agg AS (SELECT arxiv_id, COUNT(*) AS repo_count, {_SUMS},
+      CAST(to_json(list({REPO_JSON} ORDER BY star_total DESC, repo_id)) AS VARCHAR) AS linked_repos, 1 AS repo_chunks FROM linked GROUP BY arxiv_id)
     SELECT DATE '{SNAP}' AS snapshot_date, t.arxiv_id, a.title, a.abstract, a.authors, a.categories,
            a.published_date, a.datestamp, agg.* EXCLUDE (arxiv_id)
     FROM (SELECT DISTINCT arxiv_id FROM ranking) t LEFT JOIN papers a USING (arxiv_id)
     LEFT JOIN agg USING (arxiv_id)""",
 )
 def _(spark, sf):
-    return paper_detail_rows(spark, sf).drop("linked_repos", "openalex_data")
+    rows = paper_detail_rows(spark, sf).drop("openalex_data")
+    return rows.withColumn("linked_repos", json_list(F.col("linked_repos")))
+
+
+@query(
+    "paper_repo_chunks",
+    ACTIVITY
+    + f""", {LISTED}
+    SELECT arxiv_id, CAST((position - 1) // 2 AS BIGINT) AS chunk, CAST(to_json(list({REPO_JSON} ORDER BY position)) AS VARCHAR) AS linked_repos
+    FROM listed GROUP BY ALL""",
+)
+def _(spark, sf):
+    chunks = activity.paper_repo_chunks(stored_lists(spark, sf, stored_ranking(spark, sf)), size=2)
+    return chunks.select("arxiv_id", "chunk", json_list(F.col("linked_repos")))
 
 
 @query(
@@ -364,7 +391,7 @@ def _(spark, sf):
     SELECT ROW_NUMBER() OVER (ORDER BY star DESC NULLS LAST, arxiv_id) AS rank, * FROM wide""",
 )
 def _(spark, sf):
-    return reader.ranking_wide(ranking(spark, sf), "rolling_3m")
+    return reader.ranking_wide(stored_ranking(spark, sf), "rolling_3m")
 
 
 @query(
@@ -421,10 +448,9 @@ def _(spark, sf):
     ACTIVITY + "SELECT arxiv_id, COUNT(*) AS n_repos FROM linked GROUP BY arxiv_id",
 )
 def _(spark, sf):
-    as_text = paper_detail_rows(spark, sf).select(
-        "arxiv_id", F.to_json("linked_repos").alias("linked_repos")
-    )
-    return reader.card_repos(as_text).select("arxiv_id", "n_repos")
+    chunks = activity.paper_repo_chunks(stored_lists(spark, sf, stored_ranking(spark, sf)), size=2)
+    as_text = chunks.select("arxiv_id", "chunk", json_list(F.col("linked_repos")))
+    return reader.card_repos_of_chunks(as_text).select("arxiv_id", "n_repos")
 
 
 @query(
@@ -508,6 +534,26 @@ def _(spark, sf):
     return citations.rank_in_windows(found, citations.citation_windows(found, AS_OF))
 
 
+@query(
+    "citation_ranking_many_windows",
+    CITATION
+    + """, windows AS (SELECT 'w' || p_partkey AS window_name, DATE '1995-01-01' + CAST(p_partkey % 1500 AS INTEGER) AS start_date,
+        DATE '1995-01-01' + CAST(p_partkey % 1500 + p_partkey * 7 % 400 - 5 AS INTEGER) AS end_date FROM part)
+    SELECT window_name, rank, arxiv_id, cited_by_count FROM (
+      SELECT window_name, arxiv_id, cited_by_count,
+        ROW_NUMBER() OVER (PARTITION BY window_name ORDER BY cited_by_count DESC, arxiv_id) AS rank
+      FROM candidates JOIN windows ON paper_date BETWEEN start_date AND end_date) WHERE rank <= 3""",
+)
+def _(spark, sf):
+    key, first = F.col("p_partkey"), F.lit("1995-01-01").cast("date")
+    windows = table(spark, sf, "part").select(
+        F.concat(F.lit("w"), key.cast("string")).alias("window_name"),
+        F.date_add(first, (key % 1500).cast("int")).alias("start_date"),
+        F.date_add(first, (key % 1500 + key * 7 % 400 - 5).cast("int")).alias("end_date"),
+    )
+    return citations.rank_in_windows(_candidates(spark, sf), windows, k=3)
+
+
 @query("citation_details", CITATION + "SELECT * FROM cdetails")
 def _(spark, sf):
     return cdetails(spark, sf, materialise(cranking(spark, sf), "citations"))

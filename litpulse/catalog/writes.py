@@ -8,11 +8,11 @@ from litpulse.catalog.bindings import (
     EDGES, EVENTS, PAPERS, SNAP, as_id, edges, events, papers, parse_input, repos, table, with_,
 )
 from litpulse.catalog.rankings import (
-    ACTIVITY, CITATION, cdetails, cranking, paper_detail_rows, ranking,
+    ACTIVITY, BOUND, CITATION, LISTED, REPO_JSON, cdetails, cranking, json_list, ranking, stored_lists, stored_ranking,
 )
 from litpulse.catalog.registry import query
 from litpulse.operators import merge
-from litpulse.plans import release_dates
+from litpulse.plans import activity, release_dates
 from litpulse.session import materialise, scratch_path
 from litpulse.sources import jsonl, sinks, tables
 from litpulse.streaming import ingest as streams
@@ -243,12 +243,21 @@ def _(spark, sf):
 @query(
     "export_details",
     ACTIVITY
-    + """SELECT arxiv_id, COUNT(*) AS repo_count, CAST(SUM(star_total) AS BIGINT) AS star_sum FROM linked GROUP BY 1""",
+    + f""", {LISTED}, chunks AS (
+      SELECT arxiv_id, COUNT(*) AS n, CAST(to_json(list({REPO_JSON} ORDER BY position)) AS VARCHAR) AS listed
+      FROM listed GROUP BY arxiv_id, (position - 1) // 3)
+    SELECT arxiv_id, CAST(SUM(n) AS BIGINT) AS repo_count, COUNT(*) AS n_chunks, COUNT(*) AS repo_chunks, CAST(SUM(strlen(listed)) AS BIGINT) AS list_bytes
+    FROM chunks GROUP BY arxiv_id""",
 )
 def _(spark, sf):
     path = scratch_path(spark, "export")
-    sinks.export_table(paper_detail_rows(spark, sf), path)
-    return spark.read.parquet(path).select("arxiv_id", "repo_count", "star_sum")
+    ranked = stored_ranking(spark, sf)
+    lists = stored_lists(spark, sf, ranked)
+    details = activity.paper_details(ranked, lists, papers(spark, sf), SNAP, BOUND, size=3)
+    sinks.export_details(details, activity.paper_repo_chunks(lists, size=3), path)
+    chunks = spark.read.parquet(f"{path}/repo_chunks").select("arxiv_id", json_list(F.col("linked_repos")))
+    whole = chunks.groupBy("arxiv_id").agg(F.count("*").alias("n_chunks"), F.sum(F.octet_length("linked_repos")).alias("list_bytes"))
+    return spark.read.parquet(f"{path}/details").select("arxiv_id", "repo_count", "repo_chunks").join(whole, "arxiv_id")
 
 
 @query("export_citations", CITATION + "SELECT arxiv_id, work_id, cited_by_count FROM cdetails")

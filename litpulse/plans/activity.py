@@ -5,14 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litpulse.functions.dates import ISO_DATE_PREFIX, iso_date
+from litpulse.operators.ranks import numbered
 from litpulse.operators.topk import (
     hint_bounded,
     pivot_metrics,
-    top_k,
     top_k_few_groups,
     unpivot_windows,
 )
@@ -24,8 +24,8 @@ FIRST_YEAR = 2008
 RECENT_DAYS = 14
 # Days each rolling window reaches back, the snapshot day included.
 ROLLING_DAYS = {"rolling_7d": 7, "rolling_30d": 30, "rolling_3m": 90, "rolling_6m": 180}
-# Length of a preview list, for callers that ask for one; detail rows hold the whole list.
-INLINE_REPOS = 1000
+# Repositories of a chunk of a paper's list.
+REPO_CHUNK = 1000
 
 
 @dataclass(frozen=True)
@@ -230,38 +230,35 @@ def paper_linked_repos(bridge: DataFrame, totals: DataFrame, repos: DataFrame) -
     )
 
 
-def ordered_repos(linked: DataFrame) -> DataFrame:
+def ordered_repos(linked: DataFrame, partitions: int | None = None) -> DataFrame:
     """The complete list of each paper's repositories as rows, with ``position`` from 1.
 
-    Rows are sorted, not collected, so a paper with very many repositories only spills.
+    A paper with very many repositories is sorted by as many tasks as its rows fill.
     """
-    order = Window.partitionBy("arxiv_id").orderBy(F.col("star_total").desc(), F.col("repo_id").asc())
-    return linked.withColumn("position", F.row_number().over(order))
+    return numbered(linked, ["arxiv_id"], [F.col("star_total").desc(), F.col("repo_id").asc()], "position", partitions)
 
 
-def _inline_repos(linked: DataFrame, limit: int | None) -> DataFrame:
-    """The repositories per paper as an ordered array; with ``limit`` only the first ones."""
+def paper_repo_chunks(ordered: DataFrame, size: int = REPO_CHUNK) -> DataFrame:
+    """The same list as arrays of at most ``size``: rows ``arxiv_id``, ``chunk`` from 0, ``linked_repos``.
+
+    A paper's chunks, one after the other, are its whole list.
+    """
     fields = ["repo_id", "full_name", "owner", *(f"{m}_total" for m in METRICS)]
-    if limit is not None:
-        linked = top_k(linked, ["arxiv_id"], [F.col("star_total").desc(), F.col("repo_id").asc()], limit)
-    entry = F.struct((-F.col("star_total")).alias("stars"), "repo_id", F.struct(*fields).alias("repo"))
-    packed = F.array_sort(F.collect_list(entry))
-    return linked.groupBy("arxiv_id").agg(
-        F.transform(packed, lambda x: x["repo"]).alias("linked_repos")
-    )
+    entry = F.struct("position", F.struct(*fields).alias("repo"))
+    chunk = F.floor((F.col("position") - 1) / size).cast("int").alias("chunk")
+    listed = F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["repo"])
+    return ordered.groupBy("arxiv_id", chunk).agg(listed.alias("linked_repos"))
 
 
 def paper_details(
-    ranking: DataFrame, linked: DataFrame, papers: DataFrame, snap: dt.date, bound: int,
-    inline: int | None = None,
-) -> DataFrame:
+    ranking: DataFrame, ordered: DataFrame, papers: DataFrame, snap: dt.date, bound: int, size: int = REPO_CHUNK
+) -> DataFrame:
     """One detail row per ranked paper.
 
-    Counts, maxima, sums and the array cover all linked repositories, so a row is as
-    long as its paper's list; ``ordered_repos`` is that list as rows. With ``inline``
-    the array is a preview of the first ones.
+    Counts, maxima and sums cover all linked repositories. ``linked_repos`` is the first chunk of their list, which is
+    all of it for a paper with at most ``size``; ``repo_chunks`` says how many ``paper_repo_chunks`` has.
     """
-    sums = linked.groupBy("arxiv_id").agg(
+    sums = ordered.groupBy("arxiv_id").agg(
         F.count("*").cast("int").alias("repo_count"),
         *(
             f(f"{m}_total").alias(f"{m}_{n}")
@@ -273,16 +270,18 @@ def paper_details(
     texts = papers.select(
         "arxiv_id", "title", "abstract", "authors", "categories", "published_date", "datestamp"
     ).join(ids, "arxiv_id", "left_semi")
+    first = paper_repo_chunks(ordered.where(F.col("position") <= size), size).drop("chunk")
     empty = F.from_json(F.lit("[]"), f"array<{LINKED_REPO}>")
     return (
         ranked_ids(ranking)
         .join(texts, "arxiv_id", "left")
         .join(sums, "arxiv_id", "left")
-        .join(_inline_repos(linked, inline), "arxiv_id", "left")
+        .join(first, "arxiv_id", "left")
         .select(
             F.lit(snap).alias("snapshot_date"), "arxiv_id", "title", "abstract", "authors",
             "categories", "published_date", "datestamp",
             F.coalesce("linked_repos", empty).alias("linked_repos"),
+            F.coalesce(F.ceil(F.col("repo_count") / size).cast("int"), F.lit(0)).alias("repo_chunks"),
             F.lit(None).cast("string").alias("openalex_data"),
             F.coalesce("repo_count", F.lit(0)).alias("repo_count"),
             *(

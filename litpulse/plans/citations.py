@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litpulse.functions.dates import months_back, strict_iso_date, year_start
+from litpulse.operators.intervals import join_spans
 from litpulse.operators.merge import newest_per_key
 from litpulse.operators.topk import hint_bounded, top_k
 
@@ -133,20 +134,14 @@ def rank_candidates(candidates: DataFrame, as_of: dt.date, k: int = TOP_K) -> Da
 def rank_in_windows(candidates: DataFrame, windows: DataFrame, k: int = TOP_K) -> DataFrame:
     """Top k per row of a window table (``window_name``, ``start_date``, ``end_date``).
 
-    For windows that are not tied to the calendar. The table has tens of rows, one
-    per year at most; it becomes part of the expression, so nothing is joined.
+    For windows that are not tied to the calendar and may be as many as there are candidates: both sides meet by
+    equality on the nodes of a tree over days (``join_spans``), nothing is collected.
     """
-    tests = [
-        F.when(F.col("paper_date").between(F.lit(w.start_date), F.lit(w.end_date)), F.lit(w.window_name))
-        for w in windows.collect()
-    ]
-    names = F.filter(F.array(*tests), lambda n: n.isNotNull())
-    members = candidates.select(
-        F.explode(names).alias("window_name"), "arxiv_id", "cited_by_count"
-    )
+    members = join_spans(candidates, "paper_date", windows, "start_date", "end_date")
     return top_k(
-        members, ["window_name"], [F.col("cited_by_count").desc(), F.col("arxiv_id").asc()], k
-    )
+        members.select("window_name", "arxiv_id", "cited_by_count"),
+        ["window_name"], [F.col("cited_by_count").desc(), F.col("arxiv_id").asc()], k,
+    )
 
 
 def citation_rank_bound(as_of: dt.date, k: int = TOP_K, first_year: int = 1900) -> int:

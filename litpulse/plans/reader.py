@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from litpulse.functions.jsons import linked_repo_array
 from litpulse.functions.text import is_missing
+from litpulse.operators.ranks import numbered
 from litpulse.operators.topk import pivot_metrics
 from litpulse.schemas import METRICS
 
@@ -106,23 +107,17 @@ def window_options(ranking: DataFrame, snap: dt.date) -> DataFrame:
 
 
 def ranking_wide(ranking: DataFrame, window: str) -> DataFrame:
-    """One window as a table with a column per metric, ranked again.
+    """One window of a stored ranking as a table with a column per metric, ranked again.
 
-    The primary metric is the first of star, fork, issue, pr with any value. A
-    paper without a title has no row. Up to four lists of k papers meet here, so
-    the one-partition rank is bounded by the ranking itself.
+    The primary metric is the first of star, fork, issue, pr with any value; it is found first, from one row of counts.
+    A paper without a title has no row. Numbering takes as many tasks as the rows fill.
     """
     rows = ranking.where((F.col("window_name") == window) & F.col("title").isNotNull())
+    values = rows.agg(*(F.count(F.when(F.col("metric") == m, F.col("metric_value"))).alias(m) for m in METRICS)).first()
+    primary = next((m for m in METRICS if values[m]), METRICS[0])
     wide = pivot_metrics(rows, ["arxiv_id", "title"], "metric_value", METRICS)
-    everything = Window.partitionBy()
-    primary = F.coalesce(
-        *(F.when(F.count(m).over(everything) > 0, F.lit(m)) for m in METRICS), F.lit(METRICS[0])
-    )
-    value = F.coalesce(*(F.when(F.col("__primary") == m, F.col(m)) for m in METRICS))
-    order = Window.partitionBy().orderBy(value.desc_nulls_last(), F.col("arxiv_id").asc())
-    return wide.withColumn("__primary", primary).select(
-        F.row_number().over(order).alias("rank"), "arxiv_id", "title", *METRICS
-    )
+    ranked = numbered(wide, [], [F.col(primary).desc_nulls_last(), F.col("arxiv_id").asc()], "rank")
+    return ranked.select("rank", "arxiv_id", "title", *METRICS)
 
 
 def citation_list(ranking: DataFrame, window: str) -> DataFrame:
@@ -164,3 +159,19 @@ def card_repos(details: DataFrame, shown: int = CARD_REPOS) -> DataFrame:
         names.alias("shown"),
         F.greatest(n - shown, F.lit(0)).cast("bigint").alias("n_more"),
     )
+
+
+def card_repos_of_chunks(chunks: DataFrame, shown: int = CARD_REPOS) -> DataFrame:
+    """The same from the numbered chunks of a list, as arrays or JSON text: all chunks count, the first is shown.
+
+    ``shown`` is at most the size of a chunk.
+    """
+    listed = F.col("linked_repos")
+    if dict(chunks.dtypes)["linked_repos"] == "string":
+        listed = linked_repo_array(listed)
+    names = F.transform(F.slice(listed, 1, shown), lambda r: F.coalesce(r["full_name"], F.lit("")))
+    each = chunks.select("arxiv_id", F.size(listed).alias("n"), F.when(F.col("chunk") == 0, names).alias("names"))
+    n = F.sum("n")
+    return each.groupBy("arxiv_id").agg(
+        n.alias("n_repos"), F.max("names").alias("shown"), F.greatest(n - shown, F.lit(0)).alias("n_more")
+    )

@@ -43,30 +43,28 @@ def year_histogram(dated: DataFrame) -> DataFrame:
     )
 
 
-def write_by_date(dated: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    """Dated records as Parquet, one partition per date.
-
-    A date goes to one task, which writes one file for it. A date with more than
-    ``rows_per_file`` records is spread by content over as many tasks as it needs.
-    The number of tasks is that of the shuffle: with thousands of dates the cost
-    lies in opening files, not in bytes, so adaptive merging of small shuffle
-    blocks would leave too few writers.
+def write_by_date(dated: DataFrame, path: str) -> None:
+    """Dated records as Parquet, one partition per date, in one pass over the records.
+
+    Records are rebalanced by date: a date beyond the advisory partition size, by what the shuffle has measured,
+    is split over several tasks, each with a file of its own. Small blocks are not merged: with thousands of dates the cost lies
+    in opening files, not in bytes, and merging would leave too few writers.
     """
-    known = dated.where(F.col("publish_date").isNotNull()).select("raw_json", "publish_date")
-    spread = known.groupBy("publish_date").agg(
-        F.ceil(F.count("*") / rows_per_file).alias("__parts")
-    )
-    tasks = int(dated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
-        known.join(F.broadcast(spread), "publish_date")  # one row per calendar day
-        .withColumn("__part", F.pmod(F.xxhash64("raw_json"), F.col("__parts")))
-        .repartition(tasks, "publish_date", "__part")
-        .select("raw_json", "publish_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("publish_date")
-        .parquet(path)
-    )
+    spark, merging = dated.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merging)
+    spark.conf.set(merging, "false")
+    try:
+        (
+            dated.where(F.col("publish_date").isNotNull())
+            .select("raw_json", "publish_date")
+            .hint("rebalance", "publish_date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("publish_date")
+            .parquet(path)
+        )
+    finally:
+        spark.conf.set(merging, before)
 
 
 def read_by_date(spark: SparkSession, path: str) -> DataFrame:

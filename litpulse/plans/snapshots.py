@@ -30,7 +30,7 @@ def build_activity_snapshot(
     k: int = activity.TOP_K,
     first_year: int = activity.FIRST_YEAR,
 ) -> DataFrame:
-    """Write ranking, bridge, paper and repository details below ``out``; return their row counts.
+    """Write ranking, bridge, repository lists, paper and repository details below ``out``; return their row counts.
 
     Each table is built once in the shared scratch folder and read back by the next
     step, so nothing is computed twice and a lost executor costs no more than the
@@ -53,6 +53,7 @@ def build_activity_snapshot(
         "repo_activity": per_repo,
         "bridge": bridge,
         "paper_linked_repos": linked,
+        "paper_repo_chunks": materialise(activity.paper_repo_chunks(linked), "paper_repo_chunks"),
         "paper_details": materialise(
             activity.paper_details(ranking, linked, papers, snap, bound), "paper_details"
         ),

@@ -37,7 +37,7 @@ LINKED_REPO = (
 PAPER_DETAILS = (
     "snapshot_date date, arxiv_id string, title string, abstract string, authors string,"
     f" categories string, published_date string, datestamp string, linked_repos array<{LINKED_REPO}>,"
-    " openalex_data string, repo_count int, star_max bigint, star_sum bigint, fork_max bigint,"
+    " repo_chunks int, openalex_data string, repo_count int, star_max bigint, star_sum bigint, fork_max bigint,"
     " fork_sum bigint, issue_max bigint, issue_sum bigint, pr_max bigint, pr_sum bigint"
 )
 REPO_DETAILS = (

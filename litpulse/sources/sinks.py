@@ -41,6 +41,12 @@ def export_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def export_details(details: DataFrame, chunks: DataFrame, path: str) -> None:
+    """Detail rows and the numbered chunks of their repository lists, which together hold every list whole."""
+    export_table(details, f"{path}/details")
+    chunks.orderBy("arxiv_id", "chunk").write.mode("overwrite").parquet(f"{path}/repo_chunks")
+
+
 def export_citations(ranking: DataFrame, details: DataFrame, path: str) -> None:
     """Both citation tables below ``path``; nothing is written when one has no rows."""
     require_rows(ranking=ranking, details=details)

@@ -86,6 +86,12 @@ def test_citation_ranking_has_no_range_join(spark, sf):
     assert "Cartesian" not in by_table and by_table.count("WindowGroupLimit") >= 2
 
 
+def test_windows_of_a_table_join_by_equality(spark, sf, no_broadcast):
+    found = _candidates(spark, sf)
+    text = plan(citations.rank_in_windows(found, citations.citation_windows(found, bindings.SNAP)))
+    assert "SortMergeJoin [__node" in text and "NestedLoop" not in text and "CartesianProduct" not in text
+
+
 def test_newest_per_key_sends_one_row_per_task(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     assert plan(newest_per_key(df, ["k"], [F.col("id").desc()])).count("WindowGroupLimit") == 2

@@ -8,8 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from litpulse.operators import quality
+from litpulse.operators.intervals import join_spans
+from litpulse.operators.ranks import numbered
 from litpulse.plans import activity, citations, reader, snapshots
 from litpulse.schemas import EDGES, EVENTS, METRICS, PAPERS, REPOS, WORKS
+from litpulse.session import materialise
 from litpulse.sources.publishing import Publication
 
 SNAP = dt.date(2012, 3, 31)
@@ -127,11 +130,15 @@ def test_snapshot_build(spark, world, tmp_path):
         assert row.repo_count == len(linked)
         assert (row.star_max, row.star_sum) == (max(stars.values()), sum(stars.values()))
         assert [x.repo_id for x in row.linked_repos] == sorted(linked, key=lambda r: (-stars[r], r))
-    # The whole list is kept as a table when the inline array is shorter.
-    short = activity.paper_details(ranking, stored("paper_linked_repos"), frames["papers"], SNAP, 10_000, inline=3)
-    row = short.where("arxiv_id = 'p1'").first()
-    assert len(row.linked_repos) == 3 and row.repo_count == len(by_paper["p1"])
-    assert stored("paper_linked_repos").where("arxiv_id = 'p1'").count() == len(by_paper["p1"])
+        assert row.repo_chunks == 1
+    # With short chunks a row holds the first one, and the chunks together the list.
+    short = activity.paper_details(ranking, stored("paper_linked_repos"), frames["papers"], SNAP, 10_000, size=3)
+    row, n = short.where("arxiv_id = 'p1'").first(), len(by_paper["p1"])
+    assert len(row.linked_repos) == 3 and row.repo_count == n and row.repo_chunks == -(-n // 3)
+    chunks = activity.paper_repo_chunks(stored("paper_linked_repos"), 3).where("arxiv_id = 'p1'").orderBy("chunk").collect()
+    assert [c.chunk for c in chunks] == list(range(row.repo_chunks)) and all(len(c.linked_repos) == 3 for c in chunks[:-1])
+    assert [r.repo_id for c in chunks for r in c.linked_repos] == [r.repo_id for r in details.where("arxiv_id = 'p1'").first().linked_repos]
+    assert stored("paper_repo_chunks").count() == details.where("repo_count > 0").count()
     repo = stored("repo_details").where("repo_id = 1").first()
     assert repo.linked_papers == sorted(repo.linked_papers, key=lambda x: (x.title is None, x.title or "", x.arxiv_id))
     assert repo.full_name == "o/1" and repo.star_total == totals[1, "star"]
@@ -300,32 +307,68 @@ def test_cards(rows):
     assert reader.find_paper(df, "2").count() == 0 and reader.find_paper(df, "1").count() == 1
 
 
-def test_ordered_repos_are_complete(spark):
-    """A paper with more repositories than the preview holds keeps all, in order."""
-    from litpulse.plans import activity
+def test_numbers_of_a_hot_group(rows, monkeypatch):
+    """A group with a third of all rows is numbered by several tasks; null groups count; ties keep their count."""
+    kept = []
+    monkeypatch.setattr("litpulse.operators.ranks.materialise", lambda df, name: kept.append(materialise(df, name)) or kept[-1])
+    rnd = random.Random(4)
+    data = [("hot", rnd.randrange(50), k) for k in range(3000)] + [(rnd.choice(["a", "b", None, "c"]), rnd.randrange(50), k) for k in range(6000)]
+    df = rows(data, "g string, v int, k int")
+    got = numbered(df, ["g"], [F.col("v").desc(), F.col("k").asc()], "at", partitions=8)
+    assert got.columns == ["g", "v", "k", "at"]
+    want = {}
+    for g in {d[0] for d in data}:
+        for at, row in enumerate(sorted((d for d in data if d[0] == g), key=lambda d: (-d[1], d[2])), 1):
+            want[row] = at
+    assert {(r.g, r.v, r.k): r["at"] for r in got.collect()} == want
+    every = numbered(df, [], [F.col("k").asc(), F.col("g").asc_nulls_last()], "at", partitions=8).collect()
+    assert sorted(r["at"] for r in every) == list(range(1, 9001))
+    assert [r.k for r in sorted(every, key=lambda r: r["at"])] == sorted(d[2] for d in data)
+    assert numbered(df.limit(0), ["g"], [F.col("k").asc()], "at").count() == 0
+    # The hot group's rows were sorted by more than one task.
+    assert kept[0].where("g = 'hot'").select(F.shiftright("__at", 33)).distinct().count() > 1
+
+
+def test_interval_join(spark, rows):
+    rnd = random.Random(6)
+    day = lambda k: dt.date(1990, 1, 1) + dt.timedelta(days=k)
+    points = [(k, day(rnd.randrange(-9000, 9000)) if k % 20 else None) for k in range(300)]
+    spans = [(k, day(a), day(a + rnd.choice([-3, 0, 1, 7, 8, 63, 64, 500, 5000, 200_000]))) for k, a in enumerate(rnd.randrange(-9000, 9000) for _ in range(300))]
+    spans += [(900, None, day(3)), (901, day(3), None), (902, dt.date(1, 1, 1), dt.date(9999, 12, 31)), (903, day(5), day(5))]
+    joined = join_spans(rows(points, "p int, d date"), "d", rows(spans, "s int, a date, b date"), "a", "b").collect()
+    want = sorted((p, s) for p, d in points for s, a, b in spans if d and a and b and a <= d <= b)
+    assert sorted((r.p, r.s) for r in joined) == want and len(want) > 3000
+    assert join_spans(rows([], "p int, d date"), "d", rows(spans, "s int, a date, b date"), "a", "b").count() == 0
+
+
+def _many_repos(spark, n):
+    return spark.range(n).selectExpr(
+        "'p' AS arxiv_id", "id AS repo_id", "concat('o/', id) AS full_name", "'o' AS owner",
+        "pmod(id * 7919, 101) AS star_total", "0L AS fork_total", "0L AS issue_total", "0L AS pr_total",
+    )
+
 
-    n = 2 * activity.INLINE_REPOS + 7
-    linked = spark.range(n).selectExpr("'p' AS arxiv_id", "id AS repo_id", "pmod(id * 7919, 101) AS star_total")
-    got = [(r.position, r.star_total, r.repo_id) for r in activity.ordered_repos(linked).orderBy("position").collect()]
+def test_ordered_repos_are_complete(spark):
+    n = 5000
+    ordered = activity.ordered_repos(_many_repos(spark, n), partitions=6)
+    got = [(r.position, r.star_total, r.repo_id) for r in ordered.orderBy("position").collect()]
     assert [g[0] for g in got] == list(range(1, n + 1))
     assert [(-s, i) for _, s, i in got] == sorted((-(k * 7919 % 101), k) for k in range(n))
 
 
-def test_detail_rows_cards_and_json_hold_all_repos(spark):
-    """The array is whole for a paper with more than 2000 repositories, and a card counts all from the JSON form alone."""
-    from pyspark.sql import functions as F
-
-    from litpulse.plans import activity, reader
-
-    n = 2 * activity.INLINE_REPOS + 7
-    linked = spark.range(n).selectExpr(
-        "'p' AS arxiv_id", "id AS repo_id", "concat('o/', id) AS full_name", "'o' AS owner",
-        "pmod(id * 7919, 101) AS star_total", "0L AS fork_total", "0L AS issue_total", "0L AS pr_total",
-    )
+def test_lists_come_in_chunks_that_hold_all(spark):
+    """5000 repositories: no array is longer than a chunk, the chunks are the list, and a card counts all from their JSON form."""
+    n, size = 5000, activity.REPO_CHUNK
+    ordered = activity.ordered_repos(_many_repos(spark, n))
+    chunks = activity.paper_repo_chunks(ordered)
+    got = chunks.orderBy("chunk").collect()
+    assert [c.chunk for c in got] == [0, 1, 2, 3, 4] and {len(c.linked_repos) for c in got} == {size}
+    want = sorted(range(n), key=lambda k: (-(k * 7919 % 101), k))
+    assert [r.repo_id for c in got for r in c.linked_repos] == want
     texts = ("arxiv_id", "title", "abstract", "authors", "categories", "published_date", "datestamp")
     papers = spark.createDataFrame([("p",) * 7], ", ".join(f"{c} string" for c in texts))
-    details = activity.paper_details(papers.select("arxiv_id"), linked, papers, SNAP, 10)
-    row = details.first()
-    assert [r.repo_id for r in row.linked_repos] == sorted(range(n), key=lambda k: (-(k * 7919 % 101), k))
-    card = reader.card_repos(details.select("arxiv_id", F.to_json("linked_repos").alias("linked_repos"))).first()
-    assert row.repo_count == card.n_repos == n and card.n_more == n - reader.CARD_REPOS
+    row = activity.paper_details(papers.select("arxiv_id"), ordered, papers, SNAP, 10).first()
+    assert [r.repo_id for r in row.linked_repos] == want[:size] and (row.repo_count, row.repo_chunks) == (n, 5)
+    for form in (chunks, chunks.withColumn("linked_repos", F.to_json("linked_repos"))):
+        card = reader.card_repos_of_chunks(form, shown=3).first()
+        assert (card.n_repos, card.n_more, card.shown) == (n, n - 3, [f"o/{k}" for k in want[:3]])

@@ -137,16 +137,24 @@ def line(pid, created):
 
 
 def test_release_dates(spark, rows, tmp_path):
-    # One date holds most of the rows and is spread over several files.
-    data = [line(str(i), "Mon, 2 Apr 2007 19:18:42 GMT") for i in range(40)] + [line("x", "3 Apr 2007 01:00:00 +0000")]
-    (tmp_path / "in.jsonl").write_text("\n".join(data) + "\n", encoding="utf8")
-    raw = jsonl.read_lines(spark, str(tmp_path / "in.jsonl"))
+    # One date holds most of the rows and is spread over several files; the lines are read once.
+    data = [line(f"{i} {random.Random(i).random()}", "Mon, 2 Apr 2007 19:18:42 GMT") for i in range(4000)] + [line("x", "3 Apr 2007 01:00:00 +0000")]
+    (tmp_path / "in").mkdir()
+    for k in range(4):
+        (tmp_path / "in" / f"{k}.jsonl").write_text("\n".join(data[k::4]) + "\n", encoding="utf8")
+    raw = jsonl.read_lines(spark, str(tmp_path / "in"))
     dated = release_dates.with_publish_date(raw)
-    out = str(tmp_path / "out")
-    release_dates.write_by_date(dated, out, rows_per_file=10)
+    out, size = str(tmp_path / "out"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "20000")
+    try:
+        release_dates.write_by_date(dated, out)
+    finally:
+        spark.conf.unset(size)
+    assert len(list((tmp_path / "out" / "publish_date=2007-04-02").glob("*.parquet"))) > 2
+    assert len(list((tmp_path / "out" / "publish_date=2007-04-03").glob("*.parquet"))) == 1
     stored = release_dates.read_by_date(spark, out)
     assert {r.layer: r.passed for r in release_dates.lossless_report(raw, stored).collect()} == {"rows": True, "ids": True, "hashes": True}
-    assert [tuple(r) for r in release_dates.year_histogram(dated).collect()] == [("2007", 41)]
+    assert [tuple(r) for r in release_dates.year_histogram(dated).collect()] == [("2007", 4001)]
     assert all(r.same_hash and r.same_fields for r in release_dates.sample_matches(raw, stored).collect())
     # A line without a date is not stored: the report says so.
     more = raw.unionByName(rows([(line("y", "soon"),)], "raw_json string"))
