@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litpulse.functions.dates import epoch_date, iso_timestamp_date, parse_mail_timestamp, iso_utc_text
-from litpulse.functions.jsons import to_ints
 from litpulse.functions.once import once
 from litpulse.functions.text import blank_to_null, collapse_whitespace, name_of, owner_of, strip
 from litpulse.schemas import (
@@ -224,7 +223,10 @@ def atom_entries(feeds: DataFrame, value: str, *keep: str) -> DataFrame:
 
 
 def search_items(pages: DataFrame, value: str, *keep: str) -> DataFrame:
-    """One row per item of each search page, in page order."""
+    """One row per item of each search page, in page order.
+
+    A page that is null or broken has no rows here; ``search_coverage`` reports it.
+    """
     parsed = pages.select(*keep, F.from_json(value, SEARCH_PAGE).alias("p"))
     items = parsed.select(*keep, F.posexplode_outer("p.items").alias("position", "item"))
     return items.where(F.col("position").isNotNull()).select(
@@ -300,20 +302,23 @@ def star_days(pages: DataFrame, payload: str, *keep: str) -> DataFrame:
     """Daily star counts of each page row by row: ``date`` and ``count``, positive days only.
 
     Days outside the row's ``scan_start .. scan_to`` are dropped; slots that are
-    not numbers are skipped.
+    not numbers are skipped. A page that is null or broken has no rows here; ``star_coverage`` reports it.
     """
-    weeks = pages.select(
-        *keep, "scan_start", "scan_to", F.explode_outer(star_week_array(F.col(payload))).alias("w")
-    )
-    days = weeks.select(
-        *keep, "scan_start", "scan_to",
-        epoch_date(F.col("w.week")).alias("week_start"),
-        F.posexplode_outer(F.slice(to_ints(F.col("w.days")), 1, 7)).alias("slot", "count"),
-    )
-    day = F.date_add("week_start", F.col("slot"))
-    return days.where((F.col("count") > 0) & day.between(F.col("scan_start"), F.col("scan_to"))).select(
-        *keep, day.alias("date"), "count"
-    )
+    low, high = F.unix_date("scan_start"), F.unix_date("scan_to")
+
+    def dated(week: Column) -> Column:
+        start = F.floor(week["week"].try_cast("bigint") / F.lit(86_400))
+        return F.struct(start.alias("start"), F.slice(week["days"], 1, 7).alias("days"))
+
+    # Weeks out of range go while they are still an array, one test a week instead of one a day.
+    weeks = F.filter(F.transform(star_week_array(F.col(payload)), dated), lambda w: w["start"].between(low - 6, high))
+    weeks = pages.select(*keep, low.alias("__low"), high.alias("__high"), F.explode(weeks).alias("__week"))
+    days = weeks.select(*keep, "__low", "__high", F.col("__week.start").alias("__start"), F.posexplode("__week.days").alias("__slot", "__text"))
+    day, text = F.col("__start") + F.col("__slot"), F.col("__text")
+    # A failing cast costs far more than this test; whatever is above zero passes it.
+    days = days.where(text.rlike(r"^\s*\+?[0-9]") & (text != "0") & day.between(F.col("__low"), F.col("__high")))
+    counts = days.select(*keep, F.date_from_unix_date(day.cast("int")).alias("date"), text.try_cast("bigint").alias("count"))
+    return counts.where(F.col("count") > 0)
 
 
 def daily_star_counts(pages: DataFrame, payload: str, *keep: str) -> DataFrame:
@@ -338,7 +343,10 @@ def connection_nodes(pages: DataFrame, payload: str, *keep: str) -> DataFrame:
 
 
 def daily_connection_counts(pages: DataFrame, payload: str, *keep: str) -> DataFrame:
-    """Node time stamps folded to daily counts inside the scan range."""
+    """Node time stamps folded to daily counts inside the scan range.
+
+    A page that is null or broken has no rows here; ``connection_coverage`` reports it.
+    """
     nodes = connection_nodes(pages, payload, *keep)
     return (
         nodes.where(F.col("date").between(F.col("scan_start"), F.col("scan_to")))
