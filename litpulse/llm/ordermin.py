@@ -150,24 +150,44 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> int:
     return matched + len(b) - row.bit_count()
 
 
-def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> tuple[float, float]:
-    """Share of common labelled k-mers, and the share that the banded alignment matches in order.
+def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
+    """Matched k-mers as a share of all, by the banded alignment: the measure that decides.
 
-    The alignment decides where it reaches the threshold; otherwise the exact count, which also
-    counts k-mers that changed their order.
+    It is exact where it reaches ``least``; below, it may be less than an alignment without a band would give.
     """
     if not len(a) or not len(b):
-        return float(len(a) == len(b)), float(len(a) == len(b))
+        return float(len(a) == len(b))
     if min(len(a), len(b)) < least * max(len(a), len(b)):
-        matched = 0
-    else:
-        matched = aligned(a, b, least)
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common / (len(a) + len(b) - common), matched / (len(a) + len(b) - matched)
+        return 0.0
+    matched = aligned(a, b, least)
+    return matched / (len(a) + len(b) - matched)
+
+
+def spanning_links(pairs: list[tuple[int, int]], left: list[np.ndarray], right: list[np.ndarray], roots: tuple[list, list], least: float = SIMILARITY) -> list[tuple[int, int]]:
+    """The candidate pairs, verified by alignment, that connect what is not yet connected.
+
+    At most one fewer than the roots met, however many pairs there are; a pair whose ends are connected
+    already is not aligned.
+    """
+    parent: dict = {}
+
+    def find(x):
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in pairs:
+        x, y = find(roots[0][i]), find(roots[1][j])
+        if x != y and similarity(left[i], right[j], least) >= least:
+            parent[x] = y
+            out.append((i, j))
+    return out
 
 
 def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], least: float = SIMILARITY) -> np.ndarray:
-    """``(i, j)`` of all texts of either side whose k-mer sets are similar."""
+    """``(i, j)`` of all texts of either side whose k-mer sets are similar: the candidates of the alignment, which is never above that."""
     sizes = [np.array([len(x) for x in side]) for side in (left, right)]
     if not left or not right or not sizes[0].sum() or not sizes[1].sum():
         return np.empty((0, 2), dtype=np.int64)
@@ -215,8 +235,8 @@ def with_pivots(members: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Pairs ``a, p`` with their similarity and the share that aligns in order."""
-    schema = pa.schema([("a", pa.string()), ("p", pa.string()), ("sim", pa.float64()), ("aligned", pa.float64())])
+    """Pairs ``a, p`` with their similarity by alignment."""
+    schema = pa.schema([("a", pa.string()), ("p", pa.string()), ("sim", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,20 +247,21 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
                 x, counts = kmers(list(new.values()))
                 known.update(zip(new, np.split(x, np.cumsum(counts)[:-1]), strict=True))
             out = [similarity(known[i], known[j], least) for i, j in zip(a, p, strict=True)]
-            columns = (a, p, [x for x, _ in out], [y for _, y in out])
+            columns = (a, p, out)
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
 
     left = texts.select(F.col("h").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("h").alias("p"), F.col("text").alias("text_p"))
     whole = pairs.join(left, "a").join(right, "p").select("a", "p", "text_a", "text_p")
-    return whole.mapInArrow(run, "a string, p string, sim double, aligned double")
+    return whole.mapInArrow(run, "a string, p string, sim double")
 
 
 def links_beside_pivots(pairs: DataFrame, roots: DataFrame, texts: DataFrame, least: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """Links ``a, b`` between members of a pivot of which one is not connected to it.
+    """Links ``a, b`` that connect members of a pivot which are not connected to it, with as few as do.
 
     The unconnected members, dealt to blocks by hash, meet all members, dealt to blocks likewise; a
-    pair of blocks is one group of a bounded number of texts.
+    pair of blocks is one group of a bounded number of texts. A group returns a spanning forest of its links, seeded with
+    the roots that are known, so at most as many as it has texts.
     """
     root_of = lambda name: roots.select(F.col("id").alias(name), F.col("root").alias(f"root_{name}"))
     seen = pairs.join(root_of("a"), "a", "left").join(root_of("p"), "p", "left")
@@ -264,7 +285,8 @@ def links_beside_pivots(pairs: DataFrame, roots: DataFrame, texts: DataFrame, le
             x, counts = kmers(part["text"].to_pylist())
             sides.append((part["a"].to_pylist(), part["root"].to_pylist(), np.split(x, np.cumsum(counts)[:-1]) if part.num_rows else []))
         (a, root_a, left), (b, root_b, right) = sides
-        found = [(a[i], b[j]) for i, j in similar_pairs(left, right, least).tolist() if root_a[i] != root_b[j]]
+        met = [(i, j) for i, j in similar_pairs(left, right, least).tolist() if root_a[i] != root_b[j]]
+        found = [(a[i], b[j]) for i, j in spanning_links(met, left, right, (root_a, root_b), least)]
         return pa.table([pa.array([f[k] for f in found], pa.string()) for k in range(2)], schema=schema)
 
     return dealt.groupBy("p", "i", "j").applyInArrow(run, "a string, b string")

@@ -333,6 +333,35 @@ def test_near_duplicates(llm, odd, none, block, monkeypatch):
         assert ordermin.near_duplicates(none).count() == 0 and ordermin.near_duplicates(odd).count() == odd.count()
 
 
+def test_links_beside_pivots_are_few(llm):
+    """400 near copies of a pivot that none of them is connected to: a forest, not all pairs; a moved half is no near copy."""
+    rng = random.Random(12)
+    original = sentence(rng, 200, 5000)
+    texts = [original] + [edited(rng, original, 1) for _ in range(400)]
+    rows = [(f"h{k}", t) for k, t in enumerate(texts)]
+    df = llm.createDataFrame(rows, "h string, text string")
+    pairs = llm.createDataFrame([(h, "h0") for h, _ in rows[1:]], "a string, p string")
+    roots = llm.createDataFrame([], "id string, root string")
+    found = ordermin.links_beside_pivots(pairs, roots, df, block=64).collect()
+    # Seven blocks by seven; each pair of blocks returns fewer links than it has texts, where all pairs would be 79 800.
+    assert len(found) < 49 * 128
+    parent = {}
+
+    def find(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    for r in found:
+        parent[find(r.a)] = find(r.b)
+    assert len({find(h) for h, _ in rows[1:]}) == 1
+    words = original.split(" ")
+    x, counts = ordermin.kmers([original, " ".join(words[100:] + words[:100])])
+    a, b = np.split(x, np.cumsum(counts)[:-1])
+    assert len(np.intersect1d(a, b)) > 0.9 * len(a) and ordermin.similarity(a, b) < 0.8
+    assert ordermin.spanning_links([(0, 0)], [a], [b], (["x"], ["y"])) == [] and ordermin.spanning_links([(0, 0)], [a], [a], (["x"], ["x"])) == []
+
+
 def lcs(a, b):
     p = [0] * (len(b) + 1)
     for x in a:
