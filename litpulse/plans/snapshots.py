@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from litpulse.operators.constraints import output_constraints
 from litpulse.operators.quality import (
     citation_report,
     require_contiguous,
@@ -35,7 +36,8 @@ def build_activity_snapshot(
     Each table is built once in the shared scratch folder and read back by the next
     step, so nothing is computed twice and a lost executor costs no more than the
     running step. Only when all of them have passed the checks are they published, by one commit
-    of ``Publication(spark, out)``: a run that fails, at whatever point, leaves the tables of the last good one.
+    of ``Publication(spark, out)``, which also checks the constraints of every table as it writes it: a run that
+    fails, at whatever point, leaves the tables of the last good one.
     """
     spark = events.sparkSession
     bound = activity.rank_bound(snap, k, first_year)
@@ -62,11 +64,10 @@ def build_activity_snapshot(
         ),
     }
     require_rows(**built)
-    publication = Publication(spark, out)
+    publication, must = Publication(spark, out), output_constraints(k)
     with publication.commit() as commit:
-        for name, df in built.items():
-            commit.overwrite(name, df)
-        commit.overwrite("ranking", in_rank_order(ranking))
+        for name, df in {**built, "ranking": in_rank_order(ranking)}.items():
+            commit.overwrite(name, df, constraints=must.get(name))
     tables = ("ranking", "bridge", "paper_details", "repo_details")
     return row_counts({t: publication.read(t) for t in tables})
 
@@ -93,9 +94,10 @@ def build_citation_version(
     require_contiguous(ranking, k)
     details = materialise(citations.citation_details(ranking, works, papers, as_of, k), "citation_details")
     require_rows(details=details)
-    version, built = F.col("as_of_date"), {"citation_ranking": ranking, "citation_details": details}
+    version, must = F.col("as_of_date"), output_constraints(k)
+    built = {"citation_ranking": ranking, "citation_details": details}
     with publication.commit() as commit:
         for name, df in built.items():
-            commit.replace(name, df, version, [as_of], required=True)
+            commit.replace(name, df, version, [as_of], required=True, constraints=must[name])
     stored = [publication.read(name, [as_of]) for name in built]
     return citation_report(*stored, F.lit(status), k)
