@@ -479,3 +479,29 @@ def _(spark, sf):
     return jsonl.read_lines(spark, path).select(parsed.alias("d")).select(
         "d.doc_id", F.md5("d.text").alias("h"), F.length("d.text").alias("n_chars")
     )
+
+
+@query(
+    "path_profile",
+    """WITH r AS (SELECT o_orderkey AS k, o_orderstatus AS st, o_orderpriority AS pr FROM orders),
+    v AS (
+      SELECT k, '$' AS path, CASE WHEN k % 31 = 5 THEN 'broken' ELSE 'object' END AS kind, CAST(NULL AS VARCHAR) AS x FROM r
+      UNION ALL SELECT k, '$.id', 'bigint', CAST(k AS VARCHAR) FROM r WHERE k % 31 <> 5
+      UNION ALL SELECT k, '$.meta', 'object', NULL FROM r WHERE k % 31 <> 5
+      UNION ALL SELECT k, '$.meta.status', 'string', st FROM r WHERE k % 31 <> 5
+      UNION ALL SELECT k, '$.meta.even', 'boolean', CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END FROM r WHERE k % 31 <> 5
+      UNION ALL SELECT k, '$.tags', CASE WHEN k % 3 = 0 THEN 'void' ELSE 'array' END, NULL FROM r WHERE k % 31 <> 5
+      UNION ALL SELECT k, '$.tags[]', 'object', NULL FROM (SELECT *, unnest([1, 2]) FROM r) WHERE k % 31 <> 5 AND k % 3 <> 0
+      UNION ALL SELECT k, '$.tags[].name', 'string', unnest([pr, st]) FROM r WHERE k % 31 <> 5 AND k % 3 <> 0)
+    SELECT path, kind, count(*) AS n_values, count(DISTINCT k) AS n_records, min(length(x)) AS least_chars, max(length(x)) AS most_chars FROM v GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    key = as_id("o_orderkey")
+    tags = _cat('[{"name":"', F.col("o_orderpriority"), '"},{"name":"', F.col("o_orderstatus"), '"}]')
+    record = _cat(
+        '{"id":', key, ',"meta":{"status":"', F.col("o_orderstatus"), '","even":', F.when(F.col("o_orderkey") % 2 == 0, "true").otherwise("false"),
+        '},"tags":', F.when(F.col("o_orderkey") % 3 == 0, "null").otherwise(tags), "}",
+    )
+    orders = parse_input(spark, sf, "orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
+    raw = orders.select(F.when(F.col("o_orderkey") % 31 == 5, F.lit("{broken")).otherwise(record).alias("raw"))
+    return documents.path_profile(raw, "raw")

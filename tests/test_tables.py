@@ -81,6 +81,35 @@ def test_page_by_offset(spark, skip, size):
         assert got == keys[skip : skip + size]
 
 
+def test_path_profile(spark, rows):
+    """Against a plain walk over parsed records; nulls, broken text, empty and deep values included."""
+    raws = ['{"a":1,"b":{"c":[1,"x",null,[true]],"d":{}}}', '{"a":"long text","b":null,"e":[]}', "[1.5,2]", '"text"', "null", "{", "", None, '{"a":1,"a.b":2}']
+    want = {}
+
+    def walk(record, path, value):
+        kind = {dict: "object", list: "array", str: "string", bool: "boolean", int: "bigint", float: "decimal", type(None): "void"}[type(value)]
+        entry = want.setdefault((path, kind), [0, set(), []])
+        entry[0] += 1
+        entry[1].add(record)
+        if kind not in ("object", "array", "void"):
+            entry[2].append(len(str(value)))
+        for key, child in value.items() if kind == "object" else [(None, x) for x in value] if kind == "array" else ():
+            walk(record, path + ("[]" if key is None else f".{key}"), child)
+
+    for k, raw in enumerate(raws):
+        if raw is None:
+            continue
+        try:
+            walk(k, "$", json.loads(raw))
+        except ValueError:
+            entry = want.setdefault(("$", "broken"), [0, set(), []])
+            entry[0] += 1
+            entry[1].add(k)
+    expected = {(p, k, n, len(r), min(c, default=None), max(c, default=None)) for (p, k), (n, r, c) in want.items()}
+    assert {tuple(r) for r in documents.path_profile(rows([(r,) for r in raws], "j string"), "j").collect()} == expected
+    assert documents.path_profile(rows([], "j string"), "j").count() == 0
+
+
 def test_in_batches(spark):
     def work(batch):
         assert 0 < len(batch) <= 5
