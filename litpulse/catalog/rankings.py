@@ -216,7 +216,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     recent = activity.recent_papers(papers(spark, sf), SNAP)
-    return activity.recent_totals(_paper_activity(spark, sf), edges(spark, sf), recent)
+    return activity.recent_totals(_repo_activity(spark, sf), edges(spark, sf), recent)
 
 
 @query(

@@ -113,16 +113,15 @@ def paper_activity_wide(by_paper: DataFrame) -> DataFrame:
     )
 
 
-def recent_totals(by_paper: DataFrame, edges: DataFrame, recent: DataFrame) -> DataFrame:
-    """One row per recent paper that has a repository, with its total per metric.
+def recent_totals(activity: DataFrame, edges: DataFrame, recent: DataFrame) -> DataFrame:
+    """One row per recent paper that has a repository, with its total per metric, the maximum over its repositories.
 
-    A paper whose repositories show no activity keeps a row of zeros.
+    A paper whose repositories show no activity has a row of zeros. Edges are cut to the recent papers
+    before anything else, so only their repositories' totals meet them.
     """
-    linked = edges.select("arxiv_id").join(recent.select("arxiv_id"), "arxiv_id", "left_semi").distinct()
-    totals = pivot_metrics(by_paper.select("arxiv_id", "metric", "total"), ["arxiv_id"], "total", METRICS)
-    return linked.join(totals, "arxiv_id", "left").select(
-        "arxiv_id", *(F.coalesce(m, F.lit(0)).alias(m) for m in METRICS)
-    )
+    linked = edges.select("arxiv_id", "repo_id").join(recent.select("arxiv_id"), "arxiv_id", "left_semi")
+    totals = linked.join(repo_totals(activity), "repo_id", "left")
+    return totals.groupBy("arxiv_id").agg(*(F.coalesce(F.max(f"{m}_total"), F.lit(0)).alias(m) for m in METRICS))
 
 
 def recent_papers(papers: DataFrame, snap: dt.date, days: int = RECENT_DAYS) -> DataFrame:

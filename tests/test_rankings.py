@@ -168,9 +168,10 @@ def test_failed_snapshot_keeps_the_last_one(spark, world, tmp_path):
 def test_papers_without_activity_keep_zeros(rows, world):
     edges = rows([(1, "a", True, SNAP), (2, "b", True, SNAP), (3, "c", True, SNAP)], EDGES)
     events = rows([(1, "star", SNAP, 4), (3, "pr", SNAP, 1)], EVENT_COLS)
-    by_paper = activity.paper_activity(edges, activity.repo_activity(events, SNAP, FIRST))
+    per_repo = activity.repo_activity(events, SNAP, FIRST)
+    by_paper = activity.paper_activity(edges, per_repo)
     recent = rows([("a",), ("b",), ("unlinked",)], "arxiv_id string")
-    got = {r.arxiv_id: (r.star, r.fork, r.issue, r.pr) for r in activity.recent_totals(by_paper, edges, recent).collect()}
+    got = {r.arxiv_id: (r.star, r.fork, r.issue, r.pr) for r in activity.recent_totals(per_repo, edges, recent).collect()}
     assert got == {"a": (4, 0, 0, 0), "b": (0, 0, 0, 0)}
     wide = {r.arxiv_id: r for r in activity.paper_activity_wide(by_paper).collect()}
     assert set(wide) == {"a", "c"} and len(wide["a"]) == 25
