@@ -369,11 +369,23 @@ def _(spark, sf):
 
 @query(
     "ranking_constraints",
-    """SELECT unnest(['window_name', 'metric', 'rank_range', 'not_null', 'primary_key']) AS rule,
-       CAST(0 AS BIGINT) AS violations FROM (SELECT COUNT(*) FROM lineitem)""",
-)
-def _(spark, sf):
-    return quality.ranking_violations(stored_ranking(spark, sf))
+    ACTIVITY
+    + """, bad AS (
+      SELECT snapshot_date, CASE WHEN rank % 10 = 3 THEN 'week' ELSE window_name END AS window_name, CASE WHEN rank % 10 = 4 THEN 'likes' ELSE metric END AS metric,
+        CASE WHEN rank % 10 = 5 THEN rank + 500 ELSE rank END AS rank, CASE WHEN rank % 10 <> 6 THEN arxiv_id END AS arxiv_id FROM ranking
+      UNION ALL SELECT snapshot_date, window_name, metric, rank, arxiv_id FROM ranking WHERE rank % 10 = 7)
+    SELECT unnest(['window_name', 'metric', 'rank_range', 'not_null', 'primary_key']) AS rule, unnest([
+      count(*) FILTER (window_name = 'week'), count(*) FILTER (metric = 'likes'), count(*) FILTER (rank > 500), count(*) FILTER (arxiv_id IS NULL),
+      (SELECT count(*) FROM (SELECT 1 FROM bad GROUP BY snapshot_date, window_name, metric, rank HAVING count(*) > 1))]) AS violations FROM bad""",
+)
+def _(spark, sf):
+    rows = stored_ranking(spark, sf)
+    last, change = F.col("rank") % 10, lambda digit, value, c: F.when(last == digit, value).otherwise(F.col(c)).alias(c)
+    bad = rows.select(
+        "snapshot_date", change(3, F.lit("week"), "window_name"), change(4, F.lit("likes"), "metric"),
+        change(5, F.col("rank") + 500, "rank"), change(6, F.lit(None), "arxiv_id"),
+    )
+    return quality.ranking_violations(bad.unionByName(rows.where(last == 7).select(bad.columns)))
 
 
 # Reader views.
@@ -604,11 +616,20 @@ def _(spark, sf):
 
 @query(
     "citation_constraints",
-    """SELECT unnest(['rank_range', 'cited_not_null', 'primary_key']) AS rule,
-       CAST(0 AS BIGINT) AS violations FROM (SELECT COUNT(*) FROM lineitem)""",
-)
-def _(spark, sf):
-    return quality.citation_violations(materialise(cranking(spark, sf), "citations"))
+    CITATION
+    + """, bad AS (
+      SELECT as_of_date, window_name, CASE WHEN rank % 10 = 5 THEN rank + 500 ELSE rank END AS rank, CASE WHEN rank % 10 <> 6 THEN cited_by_count END AS cited FROM cranking
+      UNION ALL SELECT as_of_date, CASE WHEN rank % 20 = 7 THEN window_name END, rank, cited_by_count FROM cranking WHERE rank % 10 = 7)
+    SELECT unnest(['rank_range', 'cited_not_null', 'primary_key']) AS rule, unnest([
+      count(*) FILTER (rank > 500), count(*) FILTER (cited IS NULL),
+      (SELECT count(*) FROM (SELECT 1 FROM bad GROUP BY as_of_date, window_name, rank HAVING count(*) > 1 OR window_name IS NULL))]) AS violations FROM bad""",
+)
+def _(spark, sf):
+    rows = materialise(cranking(spark, sf), "citations").select("as_of_date", "window_name", "rank", "cited_by_count")
+    last = F.col("rank") % 10
+    bad = rows.withColumns({"rank": F.when(last == 5, F.col("rank") + 500).otherwise(F.col("rank")), "cited_by_count": F.when(last != 6, F.col("cited_by_count"))})
+    again = rows.where(last == 7).withColumn("window_name", F.when(F.col("rank") % 20 == 7, F.col("window_name")))
+    return quality.citation_violations(bad.unionByName(again))
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litpulse.operators.merge import newest_per_key, replace_by_key
+from litpulse.session import materialise
 
 ARCHIVE_PARTITIONS = ("published_year", "month")
 
@@ -59,8 +60,8 @@ def upsert_archive(
     """Merge a batch into the archive and return its rows as written.
 
     Whole records are replaced, the highest ``sequence`` wins within the batch,
-    null or empty keys are dropped. Only the months in the batch are read and
-    rewritten: the list of months, bounded by the calendar, prunes the scan, and
+    null or empty keys are dropped. The batch is evaluated once and written to the shared scratch folder. Only the
+    months in it are read and rewritten: the list of months, bounded by the calendar, prunes the scan, and
     dynamic partition overwrite leaves the other months alone.
     """
     spark = batch.sparkSession
@@ -69,6 +70,7 @@ def upsert_archive(
         [*ARCHIVE_PARTITIONS, key],
         [F.col(sequence).desc()],
     ).select(spark.createDataFrame([], archive_schema(schema)).columns)
+    fresh = materialise(fresh, "archive_batch")
     month = F.concat_ws("-", *ARCHIVE_PARTITIONS)
     touched = [r[0] for r in fresh.select(month).distinct().collect()]
     kept = read_jsonl(spark, path, archive_schema(schema)).where(month.isin(touched))
