@@ -74,7 +74,7 @@ def with_copies(docs: DataFrame, **options) -> DataFrame:
     when it is small and otherwise joins by shuffle, splitting a hot source.
     Null text: size 0. Null source: a source of its own, last. Sources without a
     word: rate 0. Rows that repeat an id draw alike. Empty table: no rows.
-    Needs ``doc_id, text, source``; other columns pass through.
+    Needs ``doc_id, text, source``; other columns pass through, but those named like the new ones are replaced.
     """
     sizes = docs.select("source", word_count("text").alias("size"))
     targets = materialise(source_targets(sizes, **options), "targets")
@@ -86,9 +86,12 @@ def with_copies(docs: DataFrame, **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: each row as often as it is taken, with its own columns."""
-    mixed = with_copies(docs, **options)
+    """The mixed documents: each row as often as it is taken, with its own columns, whatever their names.
+
+    Rows travel as one value, so columns that are called like helper columns come out as they went in. Nulls, repeated
+    rows and empty tables as in ``with_copies``.
+    """
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    mixed = with_copies(docs.select(own, "doc_id", "text", "source"), **options)
     # One output row per copy: the element itself is not kept.
-    copy = free_name(mixed, "copy")
-    repeat = F.expr("sequence(1L, mix_copies)")
-    return mixed.where("mix_copies > 0").withColumn(copy, F.explode(repeat)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return mixed.where("mix_copies > 0").select("row", F.explode(F.expr("sequence(1L, mix_copies)"))).select("row.*")

@@ -440,6 +440,20 @@ def test_line_join(llm, odd, none, edits):
         assert linejoin.line_classes(none).count() == 0 and linejoin.line_classes(odd).count() == odd.count()
 
 
+def test_columns_named_like_helpers(llm):
+    """Both stages give every column back as it came, whatever it is called."""
+    names = ("row", "rest", "gone", "found_id", "found_th", "th", "lines", "copy", "mix_key", "mix_size", "mix_copies", "mix_target", "mix_source_size")
+    rows = [(k, f"the very same line of text here\nline number {k} is its own", "en", "a", 50) for k in range(6)] + [(None, None, None, None, None)]
+    plain = llm.createDataFrame(rows, DOCS)
+    docs = plain.select("*", *(F.concat(F.lit(n), F.coalesce("doc_id", F.lit(-1)).cast("string")).alias(n) for n in names))
+    for stage in (linejoin.drop_repeated, mixing.mix):
+        got, want = stage(docs), stage(plain)
+        assert got.columns == docs.columns
+        order = lambda rows: sorted(map(str, rows))
+        assert order(got.select(*plain.columns).collect()) == order(want.collect())
+        assert all(r[n] == f"{n}{-1 if r.doc_id is None else r.doc_id}" for r in got.collect() for n in names)
+
+
 def test_drop_repeated(llm):
     rng = random.Random(12)
     shared, own = sentence(rng, 60), [sentence(rng, 60) for _ in range(3)]
