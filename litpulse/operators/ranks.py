@@ -20,7 +20,7 @@ def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[Column], out
     all rows lies in as many partitions as it fills. Sorted rows get a running number; a group's run in a
     partition has a first number and a length, and the lengths of the runs before it are what its rows'
     numbers start from. There is one run a group, and one more for every bound that cuts it. Null groups are
-    a group; rows equal in ``order`` are numbered in some order. ``partitions`` fixes how many there are.
+    a group; rows equal in ``order`` are numbered in some order and lie in one partition, so ``order`` should end in a key. ``partitions`` fixes how many there are.
     """
     by = [F.col(c) for c in group]
     dealt = rows.repartitionByRange(partitions, *by, *order) if partitions else rows.repartitionByRange(*by, *order)
