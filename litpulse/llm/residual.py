@@ -90,21 +90,22 @@ def pack_pieces(pieces: DataFrame, size: int = SEQUENCE, items_per_task: int = I
     A round's result does not depend on the order rows arrive in, so a task that runs
     again packs alike. Items of one task are at most about ``items_per_task``: rounds get
     ``ceil(items / items_per_task)`` partitions at least, and the last round is reached when
-    a single one suffices or the items no longer become fewer.
+    a single one suffices or the items no longer become fewer. Items are dealt by a running number that is
+    written with them, so rows that repeat an id and a text spread like others.
     """
-    pieces = materialise(pieces, "pieces")
-    member = F.struct(*pieces.columns, F.lit(0).alias("offset"))
-    items = pieces.where(F.col("length") < size).select("length", F.array(member).cast(MEMBER).alias("members"))
+    columns = [c.split()[0] for c in PIECE.split(", ")]
+    pieces = materialise(pieces.select(*columns, F.monotonically_increasing_id().alias("number")), "pieces")
+    member = F.struct(*columns, F.lit(0).alias("offset"))
+    items = pieces.where(F.col("length") < size).select("length", F.array(member).cast(MEMBER).alias("members"), "number")
     full = pieces.where(F.col("length") == size)
     n, slack, closed, round_no = items.count(), int(size * nearly_full), [], 1
     parts = max(1, -(-n // items_per_task))
     while n:
         last = parts == 1
-        first = F.element_at("members", 1)
-        dealt = items.repartition(parts, F.xxhash64(F.lit(round_no), first["doc_id"], first["start"], first["ids_crc32"]))
+        dealt = items.repartition(parts, F.xxhash64(F.lit(round_no), "number")).select("length", "members")
         bins = materialise(dealt.mapInArrow(_fit(round_no, size, slack, last), BIN), "bins")
         closed.append(bins.where("closed"))
-        items = bins.where("NOT closed").select("length", "members")
+        items = bins.where("NOT closed").select("length", "members", F.col("sequence_id").alias("number"))
         left = items.count()
         if left == n and not last:
             # Nothing found room: more rounds would not either.
@@ -112,7 +113,6 @@ def pack_pieces(pieces: DataFrame, size: int = SEQUENCE, items_per_task: int = I
             break
         n, round_no = left, round_no + 1
         parts = max(1, -(-parts // fan_in), -(-n // items_per_task))
-    columns = [c.split()[0] for c in PIECE.split(", ")]
     alone = full.select(*columns, (F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     packed = alone
     for bins in closed:

@@ -333,6 +333,20 @@ def test_near_duplicates(llm, odd, none, block, monkeypatch):
         assert ordermin.near_duplicates(none).count() == 0 and ordermin.near_duplicates(odd).count() == odd.count()
 
 
+def test_residual_packing_spreads_repeated_rows(llm):
+    """Two thousand equal rows are dealt to many tasks, and the packing stays near a global best fit."""
+    rows = [(5, "the same row again and again")] * 2000 + [(k, "one two three " * (k % 90)) for k in range(1000)]
+    got = residual.pack_documents(llm.createDataFrame(rows, "doc_id bigint, text string"), public_path(), items_per_task=200).collect()
+    assert len(got) == 3000 and sum(r.doc_id == 5 for r in got) == 2001
+    first_round = {r.sequence_id >> 32 for r in got if r.sequence_id >> 56 == 1 and r.doc_id == 5}
+    assert len(first_round) > 5
+    used = Counter()
+    for r in got:
+        used[r.sequence_id] += r.length
+    best = packing.best_fit_decreasing([r.length for r in got], 1024)
+    assert max(used.values()) <= 1024 and len(used) <= 1.02 * len(best) + 1
+
+
 def test_links_beside_pivots_are_few(llm):
     """400 near copies of a pivot that none of them is connected to: a forest, not all pairs; a moved half is no near copy."""
     rng = random.Random(12)
