@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from litpulse.operators.topk import top_k
+
 #: A node of a level spans ``FAN ** level`` days; the top level's span about 90 years each.
 FAN, LEVELS = 8, 6
 
@@ -57,3 +61,19 @@ def join_spans(points: DataFrame, day: str, spans: DataFrame, first: str, last:
     over = spans.withColumn("__span", F.explode(span_nodes(F.col(first), F.col(last))))
     same = (F.col("__node.level") == F.col("__span.level")) & (F.col("__node.number") == F.col("__span.number"))
     return at.join(over, same).drop("__node", "__span")
+
+
+def top_in_spans(points: DataFrame, day: str, spans: DataFrame, first: str, last: str, order: Sequence[Column], k: int) -> DataFrame:
+    """Pairs as of ``join_spans``, but of each interval only the first ``k`` points in ``order``.
+
+    The nodes of an interval have no day in common, so its first ``k`` points are among the first ``k`` of each node, and
+    those among the first ``k`` of each day. A day and then a node pass on ``k`` points at most, and equal intervals meet them once,
+    so the pairs grow with the intervals, whatever the points; ``order`` should end in a key. The points' columns follow the intervals'.
+    """
+    of_day = top_k(points.where(F.col(day).isNotNull()), [day], order, k).drop("rank")
+    of_node = top_k(of_day.withColumn("__node", F.explode(point_nodes(F.col(day)))), ["__node"], order, k).drop("rank")
+    different = spans.select(F.col(first).alias("__first"), F.col(last).alias("__last")).distinct()
+    over = different.withColumn("__span", F.explode(span_nodes(F.col("__first"), F.col("__last"))))
+    same = (F.col("__node.level") == F.col("__span.level")) & (F.col("__node.number") == F.col("__span.number"))
+    found = top_k(of_node.join(over, same).drop("__node", "__span"), ["__first", "__last"], order, k).drop("rank")
+    return spans.join(found, (F.col(first) == F.col("__first")) & (F.col(last) == F.col("__last"))).drop("__first", "__last")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litpulse.functions.dates import months_back, strict_iso_date, year_start
-from litpulse.operators.intervals import join_spans
+from litpulse.operators.intervals import top_in_spans
 from litpulse.operators.merge import newest_per_key
 from litpulse.operators.topk import hint_bounded, top_k
 
@@ -135,13 +135,13 @@ def rank_in_windows(candidates: DataFrame, windows: DataFrame, k: int = TOP_K) -
     """Top k per row of a window table (``window_name``, ``start_date``, ``end_date``).
 
     For windows that are not tied to the calendar and may be as many as there are candidates: both sides meet by
-    equality on the nodes of a tree over days (``join_spans``), nothing is collected.
+    equality on the nodes of a tree over days, of which each keeps its first ``k`` (``top_in_spans``); nothing is collected.
     """
-    members = join_spans(candidates, "paper_date", windows, "start_date", "end_date")
-    return top_k(
-        members.select("window_name", "arxiv_id", "cited_by_count"),
-        ["window_name"], [F.col("cited_by_count").desc(), F.col("arxiv_id").asc()], k,
-    )
+    order = [F.col("cited_by_count").desc(), F.col("arxiv_id").asc()]
+    members = top_in_spans(
+        candidates.select("paper_date", "arxiv_id", "cited_by_count"), "paper_date", windows, "start_date", "end_date", order, k
+    )
+    return top_k(members.select("window_name", "arxiv_id", "cited_by_count"), ["window_name"], order, k)
 
 
 def citation_rank_bound(as_of: dt.date, k: int = TOP_K, first_year: int = 1900) -> int:

@@ -5,10 +5,11 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from litpulse.operators import quality
-from litpulse.operators.intervals import join_spans
+from litpulse.operators.intervals import join_spans, top_in_spans
 from litpulse.operators.ranks import numbered
 from litpulse.plans import activity, citations, reader, snapshots
 from litpulse.schemas import EDGES, EVENTS, METRICS, PAPERS, REPOS, WORKS
@@ -373,3 +374,25 @@ def test_lists_come_in_chunks_that_hold_all(spark):
     for form in (chunks, chunks.withColumn("linked_repos", F.to_json("linked_repos"))):
         card = reader.card_repos_of_chunks(form, shown=3).first()
         assert (card.n_repos, card.n_more, card.shown) == (n, n - 3, [f"o/{k}" for k in want[:3]])
+
+
+def test_intervals_meet_a_few_points_of_a_node(spark, rows):
+    """The join of ranked intervals grows with the intervals, not with the points in them, and ranks as the whole join does."""
+    first, n, k = dt.date(2000, 1, 1), 20_000, 2
+    points = spark.range(n).select(
+        "id", F.date_add(F.lit(first), (F.col("id") % 60).cast("int")).alias("d"), (F.col("id") * 7919 % 101).alias("v")
+    )
+    data = [(s, first + dt.timedelta(s * 3 % 50), first + dt.timedelta(s * 3 % 50 + s % 30 - 2)) for s in range(40)]
+    spans = rows([*data, (1, None, first), (2, first, first)], "s int, a date, b date")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = top_in_spans(points, "d", spans, "a", "b", order, k)
+    joined = join_spans(points, "d", spans, "a", "b")
+    best = Window.partitionBy("s", "a", "b").orderBy(*order)
+    want = joined.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
+    assert sorted(got.select("s", "a", "b", "id").collect()) == sorted(want.select("s", "a", "b", "id").collect())
+    # Each node passes on two points at most: its limit stands below the join.
+    found = points.select(F.col("id").cast("string").alias("arxiv_id"), F.col("d").alias("paper_date"), F.col("v").alias("cited_by_count"))
+    named = spans.select(F.col("s").cast("string").alias("window_name"), F.col("a").alias("start_date"), F.col("b").alias("end_date"))
+    ranked = citations.rank_in_windows(found, named, k)
+    assert "WindowGroupLimit [__node" in ranked._jdf.queryExecution().executedPlan().toString()
+    assert ranked.count() == k * named.where("end_date >= start_date").select("window_name").distinct().count()
