@@ -30,9 +30,10 @@ def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int)
     return df.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def value_floor(df: DataFrame, groups: Sequence[str], value: str, k: int) -> DataFrame:
-    """Per group the lowest value that a row among the k highest can have, as ``__floor``."""
-    counts = df.groupBy(*groups, value).agg(F.count("*").alias("__n"))
+def value_floor(df: DataFrame, groups: Sequence[str], value: str, k: int, weight: Column | None = None) -> DataFrame:
+    """Per group the lowest value that a row among the k highest can have, as ``__floor``; a row counts for ``weight``, else for one."""
+    n = F.count("*") if weight is None else F.sum(weight)
+    counts = df.groupBy(*groups, value).agg(n.alias("__n"))
     higher = F.sum("__n").over(Window.partitionBy(*groups).orderBy(F.col(value).desc())) - F.col("__n")
     return (
         counts.withColumn("__higher", higher)

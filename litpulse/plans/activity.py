@@ -15,6 +15,7 @@ from litpulse.operators.topk import (
     pivot_metrics,
     top_k_few_groups,
     unpivot_windows,
+    value_floor,
 )
 from litpulse.schemas import LINKED_REPO, METRICS
 from litpulse.sources.tables import tagged_union
@@ -157,6 +158,44 @@ def ranked_papers(by_paper: DataFrame, recent: DataFrame, k: int = TOP_K) -> Dat
     )
 
 
+def rank_floors(activity: DataFrame, edges: DataFrame, recent: DataFrame, k: int = TOP_K) -> list[tuple[str, str, int]]:
+    """Per window and metric a value that every paper among the k highest reaches: ``(window_name, metric, value)``.
+
+    A paper counts for the lowest of its repositories, so the papers of several repositories add up. From the highest
+    value down, repositories are passed until they count for k papers; each of those has that value at least, so nothing lower
+    can rank. With fewer papers than k the floor is the lowest value there is. One row per window and metric comes to the driver.
+    """
+    owner = edges.groupBy("arxiv_id").agg(F.min("repo_id").alias("repo_id"))
+    owner = owner.join(recent.distinct().withColumn("__recent", F.lit(True)), "arxiv_id", "left")
+    owned = owner.groupBy("repo_id").agg(F.count("*").alias("__papers"), F.count("__recent").alias("__fresh"))
+    names = [c for c in activity.columns if c not in ("repo_id", "metric")]
+    weighed = activity.join(owned, "repo_id", "left").withColumn("d14", F.col("total"))
+    long = unpivot_windows(weighed, ["metric", "__papers", "__fresh"], {n: n for n in [*names, "d14"]})
+    papers = F.when(F.col("window_name") == "d14", F.col("__fresh")).otherwise(F.col("__papers"))
+    floors = value_floor(long, ["window_name", "metric"], "metric_value", k, F.coalesce(papers, F.lit(0)))
+    return [tuple(r) for r in floors.select("window_name", "metric", "__floor").collect()]
+
+
+def rankable_activity(activity: DataFrame, floors: list[tuple[str, str, int]]) -> DataFrame:
+    """Activity without what is below ``rank_floors``: such values are null, rows without any other are left out.
+
+    The maxima of a paper that can rank in a window stay what they are, so the ranking does. ``d14`` ranks by ``total`` too.
+    """
+    least: dict[str, dict[str, int]] = {}
+    for name, metric, value in floors:
+        of_window = least.setdefault("total" if name == "d14" else name, {})
+        of_window[metric] = min(value, of_window.get(metric, value))
+    names = [c for c in activity.columns if c not in ("repo_id", "metric")]
+    kept = []
+    for name in names:
+        reached = F.lit(False)
+        for metric, value in sorted(least.get(name, {}).items()):
+            reached = reached | ((F.col("metric") == metric) & (F.col(name) >= value))
+        kept.append(F.when(reached, F.col(name)).alias(name))
+    cut = activity.select("repo_id", "metric", *kept)
+    return cut.where(F.coalesce(*(F.col(n) for n in names)).isNotNull())
+
+
 def rank_bound(snap: dt.date, k: int = TOP_K, first_year: int = FIRST_YEAR) -> int:
     """The most rows one ranking snapshot can have."""
     return k * (len(activity_windows(snap, first_year)) + 1) * len(METRICS)
@@ -175,11 +214,13 @@ def activity_ranking(
 
     Titles are attached after ranking, so a ranked id without a paper leaves a gap
     in the ranks. ``require_paper_first`` drops such ids before ranking instead.
+    Only repositories that can make a paper rank meet the edges (``rank_floors``, a job of its own).
     """
     if require_paper_first:
         edges = edges.join(papers.select("arxiv_id"), "arxiv_id", "left_semi")
-    by_paper = paper_activity(edges, repo_activity(events, snap, first_year))
-    ranked = ranked_papers(by_paper, recent_papers(papers, snap), k)
+    per_repo, recent = repo_activity(events, snap, first_year), recent_papers(papers, snap)
+    by_paper = paper_activity(edges, rankable_activity(per_repo, rank_floors(per_repo, edges, recent, k)))
+    ranked = ranked_papers(by_paper, recent, k)
     return titled_ranking(ranked, papers, snap, rank_bound(snap, k, first_year))
 
 

@@ -43,8 +43,9 @@ def build_activity_snapshot(
     bound = activity.rank_bound(snap, k, first_year)
     per_repo = materialise(activity.repo_activity(events, snap, first_year), "repo_activity")
     require_rows(repo_activity=per_repo)
-    by_paper = activity.paper_activity(edges, per_repo)
-    ranked = activity.ranked_papers(by_paper, activity.recent_papers(papers, snap), k)
+    recent = activity.recent_papers(papers, snap)
+    by_paper = activity.paper_activity(edges, activity.rankable_activity(per_repo, activity.rank_floors(per_repo, edges, recent, k)))
+    ranked = activity.ranked_papers(by_paper, recent, k)
     ranking = materialise(activity.titled_ranking(ranked, papers, snap, bound), "ranking")
     require_rows(ranking=ranking)
     bridge = materialise(activity.ranking_bridge(edges, ranking, snap, bound), "bridge")

@@ -396,3 +396,19 @@ def test_intervals_meet_a_few_points_of_a_node(spark, rows):
     ranked = citations.rank_in_windows(found, named, k)
     assert "WindowGroupLimit [__node" in ranked._jdf.queryExecution().executedPlan().toString()
     assert ranked.count() == k * named.where("end_date >= start_date").select("window_name").distinct().count()
+
+
+@pytest.mark.parametrize("fresh", [0, 3, 2000])
+def test_only_repositories_that_can_rank_meet_the_edges(spark, fresh):
+    """Papers with several repositories, ties at the floor, and fewer recent papers than ranks."""
+    k, n, i = 7, 2000, F.col("id")
+    events = spark.range(n).select(i.alias("repo_id"), F.lit("star").alias("metric"), F.lit(SNAP).alias("date"), (i * 7919 % 500 + 1).alias("count"))
+    edges = spark.range(3 * n).select((i * 31 % n).alias("repo_id"), (i * i % 1511).cast("string").alias("arxiv_id"))
+    recent = spark.range(fresh).select((i * 13).cast("string").alias("arxiv_id"))
+    per_repo = activity.repo_activity(events, SNAP, FIRST)
+    cut = activity.rankable_activity(per_repo, activity.rank_floors(per_repo, edges, recent, k))
+    whole, few = (activity.ranked_papers(activity.paper_activity(edges, a), recent, k) for a in (per_repo, cut))
+    columns = ["window_name", "metric", "rank", "arxiv_id", "metric_value"]
+    assert sorted(few.select(columns).collect()) == sorted(whole.select(columns).collect())
+    if fresh == 2000:  # with fewer recent papers than ranks nothing below the totals can be left out
+        assert cut.count() < per_repo.count() / 5
