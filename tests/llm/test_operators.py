@@ -153,6 +153,17 @@ def test_base_spans():
         assert secrets.base_spans(text) == base_reference(text)
 
 
+def test_base_spans_in_either_case_of_unicode():
+    stated = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
+    rng = random.Random(6)
+    bits = ["pa\u017fsword", "\u017fecret", "TO\u212aEN", "ap\u0130key", "AP\u0131_\u212aEY", "token", "=", ": ", "abc", "\u017f", "\u212a", "\u0130", "\u0131", "é", " "]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    for text in [*texts, "\u017fecret=abcdefg", "ap\u0131key=abc\u0130efg"]:
+        want = [(m.start(2), 0, m.end(2)) for m in stated.finditer(text) if len(m[2]) >= 6]
+        assert secrets.base_spans(text) == want
+    assert secrets.base_spans("\u017fecret=abcdefg") == [(7, 0, 14)]
+
+
 def test_viterbi_over_stretches_is_that_of_the_whole():
     rng = np.random.default_rng(5)
     for _ in range(60):
