@@ -25,6 +25,8 @@ FIRST_YEAR = 2008
 RECENT_DAYS = 14
 # Days each rolling window reaches back, the snapshot day included.
 ROLLING_DAYS = {"rolling_7d": 7, "rolling_30d": 30, "rolling_3m": 90, "rolling_6m": 180}
+# Hash slots papers are counted by, and edges of a slot from which on its papers' rows combine ahead of the shuffle.
+HOT_SLOTS, HOT_LINKS = 65_536, 100_000
 # Repositories of a chunk of a paper's list.
 REPO_CHUNK = 1000
 
@@ -85,7 +87,11 @@ def repo_activity(events: DataFrame, snap: dt.date, first_year: int = FIRST_YEAR
     )
 
 
-def paper_activity(edges: DataFrame, activity: DataFrame) -> DataFrame:
+def _values(activity: DataFrame) -> list[str]:
+    return [c for c in activity.columns if c not in ("repo_id", "metric")]
+
+
+def linked_activity(edges: DataFrame, activity: DataFrame) -> DataFrame:
     """One row per paper and metric: the maximum over the linked repositories.
 
     A maximum does not care about repeated edges, so edges need no distinct. It
@@ -93,15 +99,50 @@ def paper_activity(edges: DataFrame, activity: DataFrame) -> DataFrame:
     repositories; a repository that links very many papers is split by the
     adaptive skew join.
     """
-    values = [c for c in activity.columns if c not in ("repo_id", "metric")]
     return (
         edges.select("arxiv_id", "repo_id")
         .join(activity, "repo_id")
         .groupBy("arxiv_id", "metric")
-        .agg(*(F.coalesce(F.max(c), F.lit(0)).alias(c) for c in values))
+        .agg(*(F.coalesce(F.max(c), F.lit(0)).alias(c) for c in _values(activity)))
     )
 
 
+def packed_activity(activity: DataFrame) -> DataFrame:
+    """The ``metrics`` of a repository in one row, with the values of all of them, one metric after the other.
+
+    Metrics whose values are all numbers of two bytes have them in ``small``; a second row has the others' in ``large``.
+    """
+    rows = activity.select("repo_id", "metric", F.array(*(F.col(f"`{c}`") for c in _values(activity))).alias("v"))
+    fits = F.forall("v", lambda x: x.try_cast("smallint").eqNullSafe(x))
+    listed = rows.groupBy("repo_id", fits.alias("fits")).agg(F.collect_list(F.struct("metric", "v")).alias("rows"))
+    values = F.flatten("rows.v")
+    small = F.when(F.col("fits"), F.transform(values, lambda x: x.try_cast("smallint")))
+    return listed.select("repo_id", F.col("rows.metric").alias("metrics"), small.alias("small"), F.when(~F.col("fits"), values).alias("large"))
+
+
+def paper_activity(edges: DataFrame, activity: DataFrame, hot_links: int = HOT_LINKS) -> DataFrame:
+    """``linked_activity`` of every paper there is, with one packed row per edge on the way to its paper.
+
+    A paper of very many edges would meet in one task. Papers are counted by ``HOT_SLOTS`` hash slots; where a slot has
+    ``hot_links`` edges or more, its papers' rows combine ahead of the shuffle instead. The slots are broadcast.
+    """
+    names = _values(activity)
+    pairs = edges.select("arxiv_id", "repo_id", F.pmod(F.xxhash64("arxiv_id"), F.lit(HOT_SLOTS)).alias("slot"))
+    hot = F.broadcast(pairs.groupBy("slot").agg(F.count("*").alias("n")).where(F.col("n") >= hot_links).select("slot"))
+    packed = pairs.join(hot, "slot", "left_anti").join(packed_activity(activity), "repo_id")
+    packed = packed.select("arxiv_id", "metrics", "small", "large").repartition("arxiv_id")
+    rows = packed.select("arxiv_id", "small", "large", F.posexplode("metrics").alias("at", "metric"))
+
+    def value(i: int) -> Column:
+        place = F.col("at") * len(names) + i
+        kind = activity.schema[names[i]].dataType
+        return F.coalesce(F.col("small")[place].cast(kind), F.col("large")[place].cast(kind))
+
+    highest = (F.coalesce(F.max(value(i)), F.lit(0)).alias(c) for i, c in enumerate(names))
+    cold = rows.groupBy("arxiv_id", "metric").agg(*highest)
+    return cold.union(linked_activity(pairs.join(hot, "slot", "left_semi"), activity))
+
+
 def paper_activity_wide(by_paper: DataFrame) -> DataFrame:
     """One row per paper: a column ``window_metric`` for every window but the yearly ones; absent is zero."""
     windows = [*ROLLING_DAYS, "year_ytd", "total"]
@@ -219,7 +260,7 @@ def activity_ranking(
     if require_paper_first:
         edges = edges.join(papers.select("arxiv_id"), "arxiv_id", "left_semi")
     per_repo, recent = repo_activity(events, snap, first_year), recent_papers(papers, snap)
-    by_paper = paper_activity(edges, rankable_activity(per_repo, rank_floors(per_repo, edges, recent, k)))
+    by_paper = linked_activity(edges, rankable_activity(per_repo, rank_floors(per_repo, edges, recent, k)))
     ranked = ranked_papers(by_paper, recent, k)
     return titled_ranking(ranked, papers, snap, rank_bound(snap, k, first_year))
 

@@ -44,7 +44,7 @@ def build_activity_snapshot(
     per_repo = materialise(activity.repo_activity(events, snap, first_year), "repo_activity")
     require_rows(repo_activity=per_repo)
     recent = activity.recent_papers(papers, snap)
-    by_paper = activity.paper_activity(edges, activity.rankable_activity(per_repo, activity.rank_floors(per_repo, edges, recent, k)))
+    by_paper = activity.linked_activity(edges, activity.rankable_activity(per_repo, activity.rank_floors(per_repo, edges, recent, k)))
     ranked = activity.ranked_papers(by_paper, recent, k)
     ranking = materialise(activity.titled_ranking(ranked, papers, snap, bound), "ranking")
     require_rows(ranking=ranking)

@@ -166,6 +166,26 @@ def test_failed_snapshot_keeps_the_last_one(spark, world, tmp_path):
     assert all(fewer[t] < good[t] for t in ("bridge", "paper_linked_repos", "repo_details"))
 
 
+def test_packed_rows_give_the_activity_of_every_paper(spark, rows):
+    rnd = random.Random(8)
+    metrics = ("star", "fork", "issue", "pr", "other", None)
+    events = [(r, m, SNAP - dt.timedelta(days=rnd.randrange(4000)), rnd.choice((1, 7, -3, 40_000, 2**40, None))) for r in range(40) for m in metrics if rnd.random() < 0.6 for _ in range(3)]
+    pairs = [(rnd.randrange(45), f"p{rnd.randrange(30)}", True, SNAP) for _ in range(300)] + [(5, None, True, SNAP), (None, "p1", True, SNAP)]
+    pairs += [(r, "much", True, SNAP) for r in range(40)] * 3
+    per_repo, edges = activity.repo_activity(rows(events, EVENT_COLS), SNAP, FIRST), rows(pairs, EDGES)
+    order = lambda df: sorted(map(str, df.collect()))
+    want = order(activity.linked_activity(edges, per_repo))
+    for hot_links in (1, 100, 100_000):
+        assert order(activity.paper_activity(edges, per_repo, hot_links)) == want
+    halves = per_repo.withColumn("total", F.col("total") / 2)
+    assert order(activity.paper_activity(edges, halves)) == order(activity.linked_activity(edges, halves))
+    # Small values travel in two bytes, the others whole; a repository has one row of each.
+    packed = activity.packed_activity(per_repo)
+    kinds = {(r.repo_id, r.small is None, r.large is None) for r in packed.collect()}
+    assert len(kinds) == packed.count() < per_repo.count() and {k[1:] for k in kinds} == {(True, False), (False, True)}
+    assert "array<smallint>" in dict(packed.dtypes).values()
+
+
 def test_papers_without_activity_keep_zeros(rows, world):
     edges = rows([(1, "a", True, SNAP), (2, "b", True, SNAP), (3, "c", True, SNAP)], EDGES)
     events = rows([(1, "star", SNAP, 4), (3, "pr", SNAP, 1)], EVENT_COLS)
