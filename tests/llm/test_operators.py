@@ -519,6 +519,36 @@ def test_threshold_grows_with_the_line(llm):
     assert got == {k: want[k] for k in range(len(lines))} and most > 4
 
 
+def test_only_keys_that_can_meet_are_joined(llm):
+    """Lines without a like one send no key to the join, copies send theirs once, and linked lines in different tasks still meet."""
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    alone = [" ".join(word() for _ in range(rng.randrange(4, 60))) for _ in range(200)]
+    pair = alone[0] + " " + " ".join(word() for _ in range(30))
+    lines = [*alone[1:], pair, pair[:50] + "#" + pair[51:]]
+    rows = lambda lines: llm.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").repartition(6)
+
+    def keys(lines):
+        near = linejoin.eligible(rows(lines)).withColumn("lid", linejoin.line_id(F.col("line")))
+        return linejoin.meeting_keys(near.select(linejoin.short_id(F.col("lid")).alias("id"), "lid", "line"))
+
+    assert keys(lines).select("id").distinct().count() == 2
+    copies = keys(lines + lines[-2:] * 5)
+    assert copies.count() == copies.select("id", "key").distinct().count()
+    assert sum(r.n_links for r in linejoin.line_classes(rows(lines)).collect()) == 2
+
+
+def test_counts_of_character_pairs_lose_no_pair():
+    rng = random.Random(17)
+    for _ in range(300):
+        a = "".join(rng.choice("ab c") for _ in range(rng.randrange(12, 200)))
+        b, t = changed(rng, a, rng.randrange(6)), rng.randrange(7)
+        near = distance(a, b) <= t
+        assert linejoin.close(a, b, t) == near
+        assert not near or linejoin.alike([b, a], [b, b], [0, t]) == [0, 1]
+    assert linejoin.alike(["one line of words", "same"], ["other text at all", "same"], [1, 0]) == [1]
+
+
 def test_edit_distance_and_keys():
     rng = random.Random(13)
     for _ in range(2000):
