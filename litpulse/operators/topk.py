@@ -30,8 +30,11 @@ def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int)
     return df.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def value_floor(df: DataFrame, groups: Sequence[str], value: str, k: int, weight: Column | None = None) -> DataFrame:
-    """Per group the lowest value that a row among the k highest can have, as ``__floor``; a row counts for ``weight``, else for one."""
+def value_floor(df: DataFrame, groups: Sequence[str], value: str, k: int | Column, weight: Column | None = None) -> DataFrame:
+    """Per group the lowest value that a row among the k highest can have, as ``__floor``; a row counts for ``weight``, else for one.
+
+    ``__reached`` is what the rows down to there count for, less than k if there are no more.
+    """
     n = F.count("*") if weight is None else F.sum(weight)
     counts = df.groupBy(*groups, value).agg(n.alias("__n"))
     higher = F.sum("__n").over(Window.partitionBy(*groups).orderBy(F.col(value).desc())) - F.col("__n")
@@ -39,7 +42,7 @@ def value_floor(df: DataFrame, groups: Sequence[str], value: str, k: int, weight
         counts.withColumn("__higher", higher)
         .where(F.col("__higher") < k)
         .groupBy(*groups)
-        .agg(F.min(value).alias("__floor"))
+        .agg(F.min(value).alias("__floor"), F.max(F.col("__higher") + F.col("__n")).alias("__reached"))
     )
 
 
@@ -53,7 +56,7 @@ def top_k_few_groups(
     more than k rows per group instead of everything. The input is read twice; it
     should end in a shuffle, which both reads share.
     """
-    floor = F.broadcast(value_floor(df, groups, value, k))  # one row per group
+    floor = F.broadcast(value_floor(df, groups, value, k).drop("__reached"))  # one row per group
     high = df.join(floor, list(groups)).where(F.col(value) >= F.col("__floor")).drop("__floor")
     return top_k(high, groups, [F.col(value).desc(), *order], k)
 

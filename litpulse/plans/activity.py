@@ -18,6 +18,7 @@ from litpulse.operators.topk import (
     value_floor,
 )
 from litpulse.schemas import LINKED_REPO, METRICS
+from litpulse.session import materialise
 from litpulse.sources.tables import tagged_union
 
 TOP_K = 500
@@ -27,6 +28,8 @@ RECENT_DAYS = 14
 ROLLING_DAYS = {"rolling_7d": 7, "rolling_30d": 30, "rolling_3m": 90, "rolling_6m": 180}
 # Hash slots papers are counted by, and edges of a slot from which on its papers' rows combine ahead of the shuffle.
 HOT_SLOTS, HOT_LINKS = 65_536, 100_000
+# The floors of the ranking come from so many times k highest repositories of a window and metric, for recent papers from more.
+FLOOR_REPOS, FLOOR_REPOS_RECENT = 4, 32
 # Repositories of a chunk of a paper's list.
 REPO_CHUNK = 1000
 
@@ -65,26 +68,34 @@ def union_events(tables: dict[str, DataFrame]) -> DataFrame:
     return tagged_union({m: tables[m].select("repo_id", "date", "count") for m in METRICS}, "metric")
 
 
-def _windowed(window: ActivityWindow) -> Column:
-    inside = F.lit(True)
-    if window.lower:
-        inside = inside & (F.col("date") >= F.lit(window.lower))
-    if window.upper:
-        inside = inside & (F.col("date") <= F.lit(window.upper))
-    value = F.col("count") if window.name == "total" else F.when(inside, F.col("count"))
-    return F.sum(value).alias(window.name)
+def _spans(windows: list[ActivityWindow]) -> list[Column]:
+    """Tests on ``date`` of the spans between the bounds of the windows, in order; the last is for rows without a date."""
+    bounds = sorted({w.lower for w in windows if w.lower} | {w.upper + dt.timedelta(days=1) for w in windows if w.upper})
+    date = F.col("date")
+    inside = [(date >= F.lit(a) if a else F.lit(True)) & (date < F.lit(b) if b else F.lit(True)) for a, b in zip([None, *bounds], [*bounds, None], strict=True)]
+    return [*(x & date.isNotNull() for x in inside), date.isNull()]
+
+
+def _windowed(window: ActivityWindow, windows: list[ActivityWindow]) -> Column:
+    """The sum of a window from the sums of the spans it holds; null if none of them has a row."""
+    bounds = sorted({w.lower for w in windows if w.lower} | {w.upper + dt.timedelta(days=1) for w in windows if w.upper})
+    first = bounds.index(window.lower) + 1 if window.lower else 0
+    last = bounds.index(window.upper + dt.timedelta(days=1)) + 1 if window.upper else len(bounds) + 1
+    held = [F.col(f"__span{i}") for i in range(first, last)] + [F.col(f"__span{len(bounds) + 1}")] * (window.name == "total")
+    return F.when(F.coalesce(*held).isNotNull(), sum((F.coalesce(x, F.lit(0)) for x in held[1:]), F.coalesce(held[0], F.lit(0)))).alias(window.name)
 
 
 def repo_activity(events: DataFrame, snap: dt.date, first_year: int = FIRST_YEAR) -> DataFrame:
     """One row per repository and metric with a sum per window, in one pass.
 
     Sums combine ahead of the shuffle, so a repository with a third of all events
-    sends one row per task and metric. Kept long by metric: the row stays under
+    sends one row per task and metric. A row has a sum per span between the windows' bounds, most of
+    them null, and the windows add these up. Kept long by metric: the row stays under
     the column count at which whole-stage code generation is given up.
     """
-    return events.groupBy("repo_id", "metric").agg(
-        *(_windowed(w) for w in activity_windows(snap, first_year))
-    )
+    windows = activity_windows(snap, first_year)
+    sums = (F.sum(F.when(test, F.col("count"))).alias(f"__span{i}") for i, test in enumerate(_spans(windows)))
+    return events.groupBy("repo_id", "metric").agg(*sums).select("repo_id", "metric", *(_windowed(w, windows) for w in windows))
 
 
 def _values(activity: DataFrame) -> list[str]:
@@ -204,16 +215,21 @@ def rank_floors(activity: DataFrame, edges: DataFrame, recent: DataFrame, k: int
 
     A paper counts for the lowest of its repositories, so the papers of several repositories add up. From the highest
     value down, repositories are passed until they count for k papers; each of those has that value at least, so nothing lower
-    can rank. With fewer papers than k the floor is the lowest value there is. One row per window and metric comes to the driver.
+    can rank. Only the highest repositories of a window and metric are passed, and only their edges; where these do not
+    count for k papers there is no floor. One row per window and metric comes to the driver.
     """
-    owner = edges.groupBy("arxiv_id").agg(F.min("repo_id").alias("repo_id"))
+    names, groups = _values(activity), ["window_name", "metric"]
+    long = unpivot_windows(activity.withColumn("d14", F.col("total")), ["repo_id", "metric"], {n: n for n in [*names, "d14"]})
+    passed = F.when(F.col("window_name") == "d14", FLOOR_REPOS_RECENT * k).otherwise(FLOOR_REPOS * k)
+    lowest = F.broadcast(value_floor(long, groups, "metric_value", passed).drop("__reached"))  # one row per group
+    high = materialise(long.join(lowest, groups).where(F.col("metric_value") >= F.col("__floor")).drop("__floor"), "high_activity")
+    linked = edges.select("arxiv_id", "repo_id").join(high.select("repo_id").distinct(), "repo_id", "left_semi")
+    owner = linked.groupBy("arxiv_id").agg(F.min("repo_id").alias("repo_id"))
     owner = owner.join(recent.distinct().withColumn("__recent", F.lit(True)), "arxiv_id", "left")
     owned = owner.groupBy("repo_id").agg(F.count("*").alias("__papers"), F.count("__recent").alias("__fresh"))
-    names = [c for c in activity.columns if c not in ("repo_id", "metric")]
-    weighed = activity.join(owned, "repo_id", "left").withColumn("d14", F.col("total"))
-    long = unpivot_windows(weighed, ["metric", "__papers", "__fresh"], {n: n for n in [*names, "d14"]})
     papers = F.when(F.col("window_name") == "d14", F.col("__fresh")).otherwise(F.col("__papers"))
-    floors = value_floor(long, ["window_name", "metric"], "metric_value", k, F.coalesce(papers, F.lit(0)))
+    weighed = high.join(owned, "repo_id", "left")
+    floors = value_floor(weighed, groups, "metric_value", k, F.coalesce(papers, F.lit(0))).where(F.col("__reached") >= k)
     return [tuple(r) for r in floors.select("window_name", "metric", "__floor").collect()]
 
 
@@ -222,16 +238,17 @@ def rankable_activity(activity: DataFrame, floors: list[tuple[str, str, int]]) -
 
     The maxima of a paper that can rank in a window stay what they are, so the ranking does. ``d14`` ranks by ``total`` too.
     """
-    least: dict[str, dict[str, int]] = {}
-    for name, metric, value in floors:
-        of_window = least.setdefault("total" if name == "d14" else name, {})
-        of_window[metric] = min(value, of_window.get(metric, value))
+    least = {(name, metric): value for name, metric, value in floors}
+    # A total is left out where both windows that rank by it have a floor, and it lies below both.
+    for metric in {metric for _, metric in least}:
+        both = [least.pop((name, metric), 0) for name in ("total", "d14")]
+        least["total", metric] = min(both)
     names = [c for c in activity.columns if c not in ("repo_id", "metric")]
     kept = []
     for name in names:
-        reached = F.lit(False)
-        for metric, value in sorted(least.get(name, {}).items()):
-            reached = reached | ((F.col("metric") == metric) & (F.col(name) >= value))
+        reached = F.col(name) > 0
+        for metric, value in sorted((m, v) for (n, m), v in least.items() if n == name):
+            reached = reached & ((F.col("metric") != metric) | (F.col(name) >= value))
         kept.append(F.when(reached, F.col(name)).alias(name))
     cut = activity.select("repo_id", "metric", *kept)
     return cut.where(F.coalesce(*(F.col(n) for n in names)).isNotNull())

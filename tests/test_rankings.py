@@ -432,3 +432,29 @@ def test_only_repositories_that_can_rank_meet_the_edges(spark, fresh):
     assert sorted(few.select(columns).collect()) == sorted(whole.select(columns).collect())
     if fresh == 2000:  # with fewer recent papers than ranks nothing below the totals can be left out
         assert cut.count() < per_repo.count() / 5
+
+
+def test_floors_ask_the_edges_of_high_repositories_only(spark, monkeypatch):
+    """What meets the edges for the floors does not grow with the repositories, and without enough papers there is no floor."""
+    k, n, i = 3, 5000, F.col("id")
+    events = spark.range(n).select(i.alias("repo_id"), F.lit("star").alias("metric"), F.lit(SNAP).alias("date"), (i + 1).alias("count"))
+    edges = spark.range(n).select(i.alias("repo_id"), (i % 2500).cast("string").alias("arxiv_id"))
+    recent = spark.range(2).select(i.cast("string").alias("arxiv_id"))
+    per_repo, kept = activity.repo_activity(events, SNAP, FIRST), []
+    monkeypatch.setattr("litpulse.plans.activity.materialise", lambda df, name: kept.append(materialise(df, name)) or kept[-1])
+    floors = activity.rank_floors(per_repo, edges, recent, k)
+    assert kept[0].select("repo_id").distinct().count() == activity.FLOOR_REPOS_RECENT * k
+    assert {name: value for name, _, value in floors}["total"] == n - 2 and "d14" not in {name for name, *_ in floors}
+    one = activity.rank_floors(per_repo, edges.withColumn("arxiv_id", F.lit("0")), recent, k)
+    assert one == [] and activity.rankable_activity(per_repo, one).count() == n
+
+
+def test_windows_add_up_their_spans(rows):
+    """Rows on and beside every bound, without a date or a count: each window is the sum of its own rows."""
+    dates = sorted({d + dt.timedelta(s) for w in activity.activity_windows(SNAP, FIRST) for d in (w.lower, w.upper) if d for s in (-1, 0, 1)})
+    data = [(1, "star", d, 1 << k) for k, d in enumerate(dates)] + [(1, "star", None, 1 << 50), (2, "fork", None, 5), (3, "pr", SNAP, None), (4, "pr", dates[0], 0)]
+    got = {r.repo_id: r for r in activity.repo_activity(rows(data, "repo_id long, metric string, date date, count long"), SNAP, FIRST).collect()}
+    for w in activity.activity_windows(SNAP, FIRST):
+        for repo in (1, 2, 3, 4):
+            mine = [n for i, _, d, n in data if i == repo and n is not None and (w.name == "total" or d and (not w.lower or d >= w.lower) and (not w.upper or d <= w.upper))]
+            assert got[repo][w.name] == (sum(mine) if mine else None), (w.name, repo)
