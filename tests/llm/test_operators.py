@@ -537,6 +537,36 @@ def test_only_keys_that_can_meet_are_joined(llm):
     assert sum(r.n_links for r in linejoin.line_classes(rows(lines)).collect()) == 2
 
 
+def test_near_copies_meet_in_blocks(llm):
+    """A large group of near copies: cells, not pairs of lines, are rows, and every link is counted."""
+    rng = random.Random(18)
+    base = sentence(rng, 60).strip()
+    lines = sorted({changed(rng, base, rng.randrange(1, 4)) for _ in range(300)})
+    docs = llm.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").repartition(4)
+    near = linejoin.eligible(docs).withColumn("lid", linejoin.line_id(F.col("line")))
+    a, b = np.triu_indices(len(lines), 1)
+    edits = np.array([linejoin.allowed(min(len(lines[i]), len(lines[j]))) for i, j in zip(a, b, strict=True)])
+    linked = np.array([linejoin.close(lines[i], lines[j], t) for i, j, t in zip(a, b, edits.tolist(), strict=True)])
+    found = linejoin.links(near)
+    rows, n = found.agg(F.count("*"), F.sum("n")).first()
+    assert n == 2 * linked.sum() > 3 * rows
+    assert linejoin.meeting_cells(linejoin.meeting_keys(near)).count() < len(a) / 10
+    assert {r.n_links for r in linejoin.line_classes(docs).collect()} == set(np.bincount(np.concatenate([a[linked], b[linked]]), minlength=len(lines)).tolist())
+
+
+def test_edit_distances_side_by_side():
+    """Lines of like and of unlike length, of many letters, with few and with very many edits, agree with one pair at a time."""
+    rng = random.Random(19)
+    for n, letters in ((1, "ab"), (40, "ab c"), (90, "".join(map(chr, range(0x4E00, 0x4E00 + 300)))), (400, "abcdefgh "), (3000, "ab c")):
+        bases = ["".join(rng.choice(letters) for _ in range(max(1, n + rng.randrange(-2, 3)))) for _ in range(2)]
+        lines = [changed(rng, rng.choice(bases), rng.randrange(max(3, n // 20))) for _ in range(12)]
+        a, b = np.triu_indices(len(lines), 1)
+        edits = np.array([rng.choice([0, 1, linejoin.allowed(n)]) for _ in a])
+        want = [linejoin.close(lines[i], lines[j], t) for i, j, t in zip(a.tolist(), b.tolist(), edits.tolist(), strict=True)]
+        assert linejoin.verified(lines, a, b, edits).tolist() == want
+        assert linejoin.abreast(*linejoin._codes(lines), a, b, edits).tolist() == want
+
+
 def test_counts_of_character_pairs_lose_no_pair():
     rng = random.Random(17)
     for _ in range(300):
