@@ -537,6 +537,31 @@ def test_only_keys_that_can_meet_are_joined(llm):
     assert sum(r.n_links for r in linejoin.line_classes(rows(lines)).collect()) == 2
 
 
+def test_words_of_many_lines_at_once():
+    """Words as by ``split``, alike ones with one hash wherever they stand, others with others."""
+    rng = random.Random(23)
+    odd = ["", "one", " x\u3000y z ", "\x1c\x1dt\x85u\xa0v", "\u00e9 \U0001f600 \ud800", "a aa aaa a\0 \0a", "ab ba"]
+    lines = odd + [sentence(rng, rng.randrange(50), 3000) for _ in range(400)]
+    for at in (lines, lines[::-1], odd[1:2], [""], []):
+        line, h, size = linejoin._words(at)
+        assert list(zip(line.tolist(), size.tolist(), strict=True)) == [(i, len(w)) for i, x in enumerate(at) for w in x.split()]
+        words = [w for x in at for w in x.split()]
+        assert len({*zip(words, h.tolist(), strict=True)}) == len(set(words)) == len(set(h.tolist()))
+    assert linejoin._words(["b a"])[1][1] == linejoin._words(["far from the start a"])[1][4]
+    assert len(linejoin._words(["w " * linejoin.CHUNK_CHARS + "of a very long line"])[1]) == linejoin.CHUNK_CHARS + 5
+
+
+def test_single_lines_are_not_dealt_by_class(llm, monkeypatch):
+    """Occurrences of lines that occur once and have no link end where their line is joined; copies of rows count once."""
+    rows = [(k, f"a line of document {k} {'x' * k}\nin two\n{sentence(random.Random(k), 9)}") for k in range(30)] + [(1, "a line of document 1 x\nin two\n" + sentence(random.Random(1), 9))]
+    seen, plain = {}, linejoin.materialise
+    monkeypatch.setattr(linejoin, "materialise", lambda df, name: seen.setdefault(name, plain(df, name)))
+    got = linejoin.line_classes(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    linked = {x for r in rows for x in r[1].split("\n")[:1]}
+    assert len(got) == 31 and sum(r.n_removed for r in got if r.doc_id != 1) >= 28
+    assert 30 <= seen["spots"].count() <= 30 + len(linked)
+
+
 def test_near_copies_meet_in_blocks(llm):
     """A large group of near copies: cells, not pairs of lines, are rows, and every link is counted."""
     rng = random.Random(18)
