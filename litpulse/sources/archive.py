@@ -15,7 +15,10 @@ ARCHIVE = "archive"
 #: Columns of a paper in order; the table keeps lists as JSON text, the archive as JSON.
 COLUMNS = [c.split()[0] for c in PAPERS.replace(VERSION, "").split(",")]
 LISTS = ("set_specs", "versions")
-_ARCHIVED = Fold(["arxiv_id", "month"], last=[c for c in COLUMNS if c != "arxiv_id"])
+
+
+def _archived() -> Fold:
+    return Fold(["arxiv_id", "month"], last=[c for c in COLUMNS if c != "arxiv_id"])
 
 
 def publication_month(published: str) -> Column:
@@ -41,7 +44,8 @@ def ingest_papers(
     if source is not None and publication.holds(source, number):
         return False
     rows = batch.where(F.col("arxiv_id") != "").withColumn("month", publication_month("published_date"))
-    rows = materialise(_ARCHIVED.fold(_ARCHIVED.state(rows, sequence)), "papers_batch")
+    rules = _archived()
+    rows = materialise(rules.fold(rules.state(rows, sequence)), "papers_batch")
     text = {c: json_or_null(F.col(c)) for c in LISTS}
     dated = rows.where(F.col("month").isNotNull())
     with publication.commit(source, number) as commit:
@@ -49,6 +53,6 @@ def ingest_papers(
         months = [r[0] for r in dated.select("month").distinct().collect()]  # calendar months, a short list
         if months:
             stored = publication.read(ARCHIVE, months, schema=dated.schema)
-            merged = _ARCHIVED.fold(stored.unionByName(dated))
+            merged = rules.fold(stored.unionByName(dated))
             commit.replace(ARCHIVE, merged, F.col("month"), months, format="json")
     return True
