@@ -139,11 +139,11 @@ def _(spark, sf):
     rows = materialise(events(spark, sf), "days")  # every delivery is made of them
     landing, out, state = (scratch_path(spark, n) for n in ("landing", "events", "state"))
     # The stored days land first, the later scans in a second delivery of several batches.
-    rows.withColumns({"scan": F.lit(0), "page": F.lit(1)}).write.json(landing)
+    rows.withColumns({"scan": F.lit(0), "page": F.lit(1)}).write.json(landing, compression="gzip")
     streams.stream_events(spark, landing, out, state)
     # Files of about one size: the second pages of a scan in other files than the first, each file a stretch of days,
     # so that a batch touches few months.
-    _event_batch(rows).repartitionByRange(8, "page", "date", "scan").write.mode("append").json(landing)
+    _event_batch(rows).repartitionByRange(8, "page", "date", "scan").write.mode("append").json(landing, compression="gzip")
     streams.stream_events(spark, landing, out, state, files_per_batch=2)
     return merge.daily_counts(streams.events_table(spark, out).read())
 

@@ -67,14 +67,20 @@ def merge_event_pages(pages: DataFrame, batch: DataFrame) -> DataFrame:
     """Page-wise event upsert: a page replaces itself, and only a day's latest scan is kept.
 
     Keeping pages apart makes the result the same for any split of a scan into
-    batches and for any repetition of a batch.
+    batches and for any repetition of a batch. Rows without a day or a scan go, a page without a number
+    replaces none. Rows are dealt out once, by day, which serves both windows.
     """
     day = ["repo_id", "metric", "date"]
     page = [*day, "scan", "page"]
-    fresh = batch.where("count > 0").groupBy(*page).agg(F.max("count").alias("count"))
-    merged = replace_by_key(pages, fresh.select(*pages.columns), page)
-    latest = merged.groupBy(*day).agg(F.max("scan").alias("scan"))
-    return merged.join(latest, [*day, "scan"], "left_semi").select(*pages.columns)
+    columns = [*page, "count"]
+    both = pages.select(*columns, F.lit(False).alias("__new")).unionByName(batch.where("count > 0").select(*columns, F.lit(True).alias("__new")))
+    both = both.dropna(subset=[*day, "scan"]).repartition(*day)
+    first = Window.partitionBy(*page).orderBy(F.col("__new").desc(), F.col("count").desc())
+    ranked = both.select("*", F.row_number().over(first).alias("__rn"), F.first("__new").over(first).alias("__replaced"))
+    ranked = ranked.withColumn("__latest", F.max("scan").over(Window.partitionBy(*day)))
+    old = ~F.col("__new") & (F.col("page").isNull() | ~F.col("__replaced"))
+    kept = ranked.where((F.col("scan") == F.col("__latest")) & (old | F.col("__new") & (F.col("__rn") == 1)))
+    return kept.select(*pages.columns)
 
 
 def daily_counts(pages: DataFrame) -> DataFrame:

@@ -271,3 +271,28 @@ def test_parsed_once(spark, rows):
     raw = rows([("{}",)], "raw_json string")
     df = release_dates.year_histogram(release_dates.with_publish_date(raw))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_event_pages_are_dealt_out_once(spark, rows):
+    """Pages replace themselves and later scans earlier ones as rule by rule, with repeated and null rows; one exchange serves it all."""
+    rng = random.Random(29)
+    ddl = "repo_id bigint, metric string, date date, count bigint, scan bigint, page bigint"
+    pick = lambda n: rng.choice([None, *range(n)]) if rng.random() < 0.2 else rng.randrange(n)
+    some = lambda n: [(pick(3), rng.choice(["star", "fork"]), D(2020, 1, 1 + rng.randrange(2)), rng.randrange(-1, 9), pick(3), pick(3)) for _ in range(n)]
+    for n, m in ((60, 40), (0, 30), (30, 0)):
+        old, batch = some(n), some(m)
+        fresh = {}
+        for *day, count, scan, page in batch:
+            if count > 0:
+                key = (*day, scan, page)
+                fresh[key] = max(count, fresh.get(key, 0))
+        merged = [r for r in old if None in (key := (*r[:3], r[4], r[5])) or key not in fresh] + [(*k[:3], c, *k[3:]) for k, c in fresh.items()]
+        latest = {}
+        for r in merged:
+            if r[4] is not None:
+                latest[r[:3]] = max(r[4], latest.get(r[:3], 0))
+        want = [r for r in merged if None not in (*r[:3], r[4]) and r[4] == latest[r[:3]]]
+        got = merge.merge_event_pages(rows(old, ddl), rows(batch, ddl))
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange ") == 1
