@@ -39,7 +39,8 @@ def ingest_papers(
     The record with the highest sequence counts, in both, whichever batch brings it; rows without an id are left
     out, undated ones go to the table alone. A batch of a source that was committed is skipped (false), so a
     repetition changes nothing; one that failed between the two has published neither and is done anew.
-    The archive rewrites the months of the batch only; the table gets one small file a bucket.
+    The archive rewrites the months only in which the batch has a record that is not older than the stored one; the
+    table gets one small file a bucket.
     """
     if source is not None and publication.holds(source, number):
         return False
@@ -51,8 +52,17 @@ def ingest_papers(
     with publication.commit(source, number) as commit:
         paper_store(publication, buckets).add(commit, rows.withColumns(text), SEQUENCE)
         months = [r[0] for r in dated.select("month").distinct().collect()]  # calendar months, a short list
-        if months:
+        known = publication.parts(ARCHIVE)
+        if any(m in known for m in months):
             stored = publication.read(ARCHIVE, months, schema=dated.schema)
-            merged = rules.fold(stored.unionByName(dated))
+            later = stored.select("arxiv_id", "month", F.col(SEQUENCE).alias("stored_at"))
+            older = F.col("stored_at").isNotNull() & F.coalesce(F.col(SEQUENCE) < F.col("stored_at"), F.lit(True))
+            on = [dated["arxiv_id"] == later["arxiv_id"], dated["month"] == later["month"], older]
+            dated = materialise(dated.join(later, on, "left_anti"), "papers_to_store")
+            months = [r[0] for r in dated.select("month").distinct().collect()]
+        if months:
+            merged = dated
+            if any(m in known for m in months):
+                merged = rules.fold(publication.read(ARCHIVE, months, schema=dated.schema).unionByName(dated))
             commit.replace(ARCHIVE, merged, F.col("month"), months, format="json")
     return True
